@@ -55,11 +55,14 @@ def explode_ngrams(
     array of arrays is built for a long sentence.
     """
     sizes = sorted(set(sizes))
-    in_sentences = df.select(F.explode(sentences(F.col(text))).alias("sentence"))
+    # The outer forms keep the optimiser from putting a "size > 0" filter, and with it a second
+    # evaluation of the split, under the generator; rows without words go with the filters below.
+    in_sentences = df.select(F.explode_outer(sentences(F.col(text))).alias("sentence"))
     in_words = in_sentences.select(words(F.col("sentence"), punct, ascii_only).alias("words"))
-    at = in_words.select("words", F.posexplode("words").alias("pos", "word"))
+    at = in_words.select("words", F.posexplode_outer("words").alias("pos", "word"))
     if sizes == [1]:
-        return at.select(F.lit(1).alias("n"), F.col("word").alias("ngram"))
+        found = at.where(F.col("word").isNotNull())
+        return found.select(F.lit(1).alias("n"), F.col("word").alias("ngram"))
     if len(sizes) == 1:
         n = F.lit(sizes[0])
         placed = at.select("words", "pos", n.alias("n"))

@@ -57,7 +57,7 @@ CLASSES = {
     "other": f"[^{SPACE}]",
 }
 
-TOKEN = "|".join(f"(?:{CLASSES[name]})" for name in CLASSES)
+TOKEN = "|".join(f"(?:{pattern})" for pattern in CLASSES.values())
 
 # Which tokens keep their capitals: an emoticon as a whole, anything that contains a URL.
 KEEP = {"emoticon": f"^(?:{EMOTICON})$", "url": URL}
@@ -112,7 +112,10 @@ def explode_tokens(
     """Rows (keys..., token).  Same tokens as :func:`tokenize`; case folding runs per row in
     generated code instead of inside an array lambda."""
     cleaned = clean_text(F.col(text), escape_non_ascii, decode_amp)
-    rows = df.select(*keys, F.explode(token_array(cleaned)).alias("token"))
+    # explode_outer: an inner explode would make the optimiser run the pattern twice per text,
+    # once for a "has any token" filter.
+    rows = df.select(*keys, F.explode_outer(token_array(cleaned)).alias("token"))
+    rows = rows.where(F.col("token").isNotNull())
     if preserve_case:
         return rows
     return rows.withColumn("token", fold_case(F.col("token"), preserve_case_for))

@@ -89,7 +89,7 @@ def exact_percentiles(
         rank = F.greatest(F.expr("(n * share + 999) div 1000"), F.lit(1))
         targets = each.select(*keys, "n", "which", rank.alias("target"), low.alias("lo"), high.alias("hi"))
         packed = targets.groupBy(*keys).agg(F.collect_list(F.struct("which", "lo", "hi")).alias("b"))
-        rows = join_small(values, materialise(packed), keys)
+        rows = join_small(values, materialise(packed), keys, salt_by=["value"])
         rows = rows.select(*keys, "value", F.inline("b"))
         if not everything:
             rows = rows.where(F.col("value") <= F.col("hi"))
@@ -135,7 +135,7 @@ def histogram(
 ) -> DataFrame:
     """``key, bin, lo, n``: values from low100 to high100 inclusive in bins of ``width``."""
     limits = materialise(stats.select(key, "low100", "high100"))
-    rows = join_small(df.where(_recorded(value)).select(key, value), limits, [key])
+    rows = join_small(df.where(_recorded(value)).select(key, value), limits, [key], salt_by=[value])
     kept = rows.where(F.col(value).between(F.col("low100"), F.col("high100")))
     bin_ = F.floor((F.col(value) - F.col("low100")) / width).cast("int")
     counts = kept.groupBy(key, bin_.alias("bin"), "low100").agg(F.count(F.lit(1)).alias("n"))

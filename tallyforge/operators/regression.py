@@ -22,7 +22,7 @@ REPORT = (
 
 def moments(df: DataFrame, columns: Sequence[str], set_column: str) -> DataFrame:
     """``set, n, pivot, cross``: sums of products of (1, columns...) per set, shifted by the first
-    row so that large means cost no digits.  Rows with a null in any column are left out.
+    row so that large means cost no digits.  Rows with a null or NaN in any column are left out.
 
     All sums are built-in aggregates with partial results per task: one row per set and task
     crosses the exchange.
@@ -71,7 +71,8 @@ def sensitivity(
     Sets are 'train' and 'test'.  ``decrease_*`` is how much the score drops without the feature.
     """
     features, targets = list(features), list(targets)
-    sums = moments(df, [*features, *targets], set_column)
+    known = df.where(F.col(set_column).isin("train", "test"))
+    sums = moments(known, [*features, *targets], set_column)
 
     def report(rows: pd.DataFrame) -> pd.DataFrame:
         size = 1 + len(features) + len(targets)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -20,6 +22,7 @@ from tallyforge.session import ensure_checkpoint_dir
 
 GBT_DEPTHS = (1, 3, 6, 10)
 FOREST_DEPTHS = (1, 3, 6, 10, 15, 20)
+DEEP = 10  # from here on, keeping each row's node beats walking the trees again
 ERRORS = "model string, depth int, set string, n long, error double, seconds double"
 
 
@@ -53,7 +56,7 @@ def gbt(depth: int, iterations: int = 10, rate: float = 0.1, bins: int = 32, see
         featureSubsetStrategy="all",
         minInstancesPerNode=1,
         minInfoGain=0.0,
-        cacheNodeIds=True,
+        cacheNodeIds=depth >= DEEP,
         checkpointInterval=10,
         maxMemoryInMB=512,
         seed=seed,
@@ -70,7 +73,7 @@ def forest(depth: int, trees: int = 10, bins: int = 32, seed: int = 255) -> Rand
         featureSubsetStrategy="auto",
         minInstancesPerNode=1,
         minInfoGain=0.0,
-        cacheNodeIds=True,
+        cacheNodeIds=depth >= DEEP,
         checkpointInterval=10,
         maxMemoryInMB=512,
         seed=seed,
@@ -93,30 +96,42 @@ def error_rates(model: Model, df: DataFrame, set_column: str = "set") -> DataFra
     return scored.groupBy(set_column).agg(F.count(F.lit(1)).alias("n"), F.avg(wrong).alias("error"))
 
 
-def depth_sweep(df: DataFrame, name: str, make, depths: Sequence[int], set_column: str = "set") -> DataFrame:
+def depth_sweep(
+    df: DataFrame,
+    name: str,
+    make,
+    depths: Sequence[int],
+    set_column: str = "set",
+    parallelism: int = 1,
+) -> DataFrame:
     """``model, depth, set, n, error, seconds`` for ``make(depth)`` trained on the rows of set
-    'train'.  ``df`` has label, features and the set; it is cached for the sweep."""
+    'train'.  ``df`` has label, features and the set; it is cached for the sweep.
+
+    With ``parallelism`` several depths train at once on the same cached rows, which keeps the
+    cores busy through the many small jobs of a tree learner.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    results = []
+
+    def measure(depth: int) -> list[tuple]:
+        started = time.time()
+        learner: Estimator = make(depth)
+        model = learner.fit(cached.where(F.col(set_column) == "train"))
+        rates = error_rates(model, cached, set_column).collect()  # one row per set
+        seconds = time.time() - started
+        return [(name, depth, r[set_column], r["n"], r["error"], seconds) for r in rates]
+
     try:
-        train = cached.where(F.col(set_column) == "train")
-        for depth in depths:
-            started = time.time()
-            learner: Estimator = make(depth)
-            model = learner.fit(train)
-            for row in error_rates(model, cached, set_column).toLocalIterator():
-                results.append((name, depth, row[set_column], row["n"], row["error"]))
-            seconds = time.time() - started
-            results = [r if len(r) == 6 else (*r, seconds) for r in results]
+        with ThreadPool(parallelism) as pool:
+            rows = pool.map(inheritable_thread_target(spark)(measure), depths)
     finally:
         cached.unpersist()
-    return spark.createDataFrame(results, ERRORS)
+    return spark.createDataFrame([row for part in rows for row in part], ERRORS)
 
 
 def compare(*sweeps: DataFrame) -> DataFrame:
-    """One table of several sweeps, a column pair per model: ``depth, set, <model>...``."""
+    """One table of several sweeps, a column of errors per model: ``depth, set, <model>...``."""
     rows = sweeps[0]
     for more in sweeps[1:]:
         rows = rows.unionByName(more)

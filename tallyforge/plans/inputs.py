@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyforge.session import materialise
+from tallyforge.sources.tables import spread
+
 STATIONS = 40
 USERS = 97
 
@@ -12,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Table whose rows are long to process, spread over the cores if it is a small one."""
+    return spread(table(spark, sf_dir, name))
+
+
 def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON lines from the conversations: one in twenty cut short, one in twenty a notice."""
     turns = table(spark, sf_dir, "conversations")
@@ -35,7 +43,7 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as posts of 97 users."""
-    documents = table(spark, sf_dir, "documents")
+    documents = texts(spark, sf_dir, "documents")
     return documents.select((F.col("doc_id") % USERS).cast("string").alias("user_id"), "text")
 
 
@@ -49,7 +57,7 @@ def user_groups(posts: DataFrame) -> DataFrame:
     digit = F.col("user_id").cast("bigint") % 10
     group = F.when(digit <= 6, digit).when(digit == 7, -1).cast("int")
     users = posts.select("user_id").distinct()
-    return users.where(digit < 9).select("user_id", group.alias("group_id"))
+    return materialise(users.where(digit < 9).select("user_id", group.alias("group_id")))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

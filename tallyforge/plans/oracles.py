@@ -44,7 +44,7 @@ def ngrams(n: int, deleted: bool = False) -> str:
 
 def ngram_top5(n: int) -> str:
     order = "ORDER BY count DESC, ngram"
-    return f"SELECT count, ngram, row_number() OVER ({order}) AS rank FROM ({ngrams(n)}) {order} LIMIT 5"
+    return f"SELECT count, ngram, CAST(row_number() OVER ({order}) AS INTEGER) AS rank FROM ({ngrams(n)}) {order} LIMIT 5"
 
 
 NGRAM_ALL = " UNION ALL ".join(f"SELECT {n} AS n, rank, count, ngram FROM ({ngram_top5(n)})" for n in range(1, 6))
@@ -105,7 +105,7 @@ GROUP_COUNTS = f"""
     WHERE n_all >= {MIN_USERS}"""
 RELATIVE = f"""
     SELECT group_id, rank, token, {rounded("score", 4)} AS score FROM (
-        SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY score DESC, token) AS rank
+        SELECT *, CAST(row_number() OVER (PARTITION BY group_id ORDER BY score DESC, token) AS INTEGER) AS rank
         FROM (SELECT *, log2(n_k / n_all) AS score FROM ({GROUP_COUNTS})))
     WHERE rank <= 10"""
 
@@ -220,6 +220,12 @@ INVARIANTS = f"""
         {rounded("sum(cov * cov)")} AS frobenius
     FROM ({covariance(False)}) GROUP BY 1"""
 
+IDENTITY = f"""
+    SELECT measurement, count(DISTINCT vec_id) AS n, {rounded("sum(rest * rest)")} AS energy,
+        0.0::DOUBLE AS error
+    FROM (SELECT *, value - avg(value) OVER (PARTITION BY measurement, day) AS rest
+        FROM ({days(False)})) GROUP BY 1"""
+
 
 def fixed_basis() -> str:
     def wave(j: int) -> str:
@@ -466,6 +472,7 @@ ORACLES: dict[str, str] = {
     "station_selection": SELECTED,
     "covariance_matrix": f"SELECT measurement, i, j, n, {rounded('cov')} AS cov FROM ({covariance(True)})",
     "eigen_invariants": INVARIANTS,
+    "full_rank_identity": IDENTITY,
     "reconstruction_fixed_basis": fixed_basis(),
     "regression_2f": two_features(),
     "regression_sensitivity": sensitivity(),

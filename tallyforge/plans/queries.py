@@ -42,7 +42,7 @@ def rounded(value: str | Column, digits: int = 6) -> Column:
 
 def ngram_top5(n: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        documents = inputs.table(spark, sf_dir, "documents")
+        documents = inputs.texts(spark, sf_dir, "documents")
         top = ngrams.sorted_ngrams(documents, "text", n).limit(5)
         return tables.ranked(top, [F.desc("count"), F.asc("ngram")])
 
@@ -50,16 +50,16 @@ def ngram_top5(n: int) -> Query:
 
 
 def ngram_top5_all(spark, sf_dir):
-    return ngrams.top_ngrams(inputs.table(spark, sf_dir, "documents"), "text")
+    return ngrams.top_ngrams(inputs.texts(spark, sf_dir, "documents"), "text")
 
 
 def ngram5_punct_deleted_top100(spark, sf_dir):
-    documents = inputs.table(spark, sf_dir, "documents")
+    documents = inputs.texts(spark, sf_dir, "documents")
     return ngrams.sorted_ngrams(documents, "text", 5, punct="delete", ascii_only=True).limit(100)
 
 
 def ngram_counts_n2(spark, sf_dir):
-    counts = ngrams.count_ngrams(inputs.table(spark, sf_dir, "documents"), "text", [2])
+    counts = ngrams.count_ngrams(inputs.texts(spark, sf_dir, "documents"), "text", [2])
     return counts.select("ngram", "count")
 
 
@@ -86,22 +86,22 @@ def posts_right_outer(spark, sf_dir):
 
 
 def tokens_extract(spark, sf_dir):
-    rows = tokens_.explode_tokens(inputs.table(spark, sf_dir, "conversations"), ["conv_id"], "text")
+    rows = tokens_.explode_tokens(inputs.texts(spark, sf_dir, "conversations"), ["conv_id"], "text")
     return rows.groupBy("conv_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def tokens_markup(spark, sf_dir):
-    rows = tokens_.explode_tokens(inputs.table(spark, sf_dir, "pages"), [], "html")
+    rows = tokens_.explode_tokens(inputs.texts(spark, sf_dir, "pages"), [], "html")
     return rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def entities_decoded(spark, sf_dir):
-    pages = inputs.table(spark, sf_dir, "pages")
+    pages = inputs.texts(spark, sf_dir, "pages")
     return pages.select("page_id", decode_entities(F.col("html")).alias("decoded"))
 
 
 def text_escaped(spark, sf_dir):
-    turns = inputs.table(spark, sf_dir, "conversations")
+    turns = inputs.texts(spark, sf_dir, "conversations")
     return turns.select("conv_id", "turn", escape_non_ascii(F.col("text")).alias("escaped"))
 
 
@@ -232,6 +232,18 @@ def covariance_matrix(spark, sf_dir):
     return cells.withColumn("cov", rounded("cov"))
 
 
+def full_rank_identity(spark, sf_dir):
+    """With all d directions kept, a vector is rebuilt without error and its coefficients carry
+    its whole squared length."""
+    rows = inputs.station_years(spark, sf_dir, gaps=False)
+    model = components.fit_basis(rows, k=64)
+    rebuilt = components.reconstruct(rows, model)
+    length = F.aggregate("coeff", F.lit(0.0), lambda s, c: s + c * c)
+    return rebuilt.select("measurement", length.alias("e"), F.element_at("mse", -1).alias("last")).groupBy(
+        "measurement"
+    ).agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("e")).alias("energy"), rounded(F.max("last")).alias("error"))
+
+
 def eigen_invariants(spark, sf_dir):
     """Sum of eigenvalues and of their squares, which equal sums over the covariance cells."""
     rows = inputs.station_years(spark, sf_dir, gaps=False)
@@ -395,19 +407,19 @@ def _tree_rows(spark, sf_dir):
 
 
 def gbt_depth_sweep(spark, sf_dir):
-    sweep = trees.depth_sweep(_tree_rows(spark, sf_dir), "gbt", trees.cover_gbt, (1, 3, 6, 10))
+    sweep = trees.depth_sweep(_tree_rows(spark, sf_dir), "gbt", trees.cover_gbt, trees.GBT_DEPTHS, parallelism=4)
     return sweep.drop("seconds")
 
 
 def rf_depth_sweep(spark, sf_dir):
     rows = _tree_rows(spark, sf_dir)
-    return trees.depth_sweep(rows, "forest", trees.forest, trees.FOREST_DEPTHS).drop("seconds")
+    return trees.depth_sweep(rows, "forest", trees.forest, trees.FOREST_DEPTHS, parallelism=4).drop("seconds")
 
 
 def model_compare(spark, sf_dir):
     rows = _tree_rows(spark, sf_dir)
-    boosted = trees.depth_sweep(rows, "gbt", trees.higgs_gbt, (1, 3))
-    grown = trees.depth_sweep(rows, "forest", trees.forest, (1, 3))
+    boosted = trees.depth_sweep(rows, "gbt", trees.higgs_gbt, (1, 3, 6), parallelism=3)
+    grown = trees.depth_sweep(rows, "forest", trees.forest, (1, 3, 6), parallelism=3)
     return trees.compare(boosted, grown)
 
 
@@ -425,7 +437,7 @@ QUERIES: dict[str, Query] = {
             class_distribution_test_set,
             profile_day_stats, profile_band, profile_missing_days, profile_scalars,
             profile_histogram, nested_flatten, derived_measures, station_selection,
-            covariance_matrix, eigen_invariants, explained_variance, eigenvectors_top3,
+            covariance_matrix, eigen_invariants, full_rank_identity, explained_variance, eigenvectors_top3,
             reconstruction_fixed_basis, reconstruction_error, reconstruction_extremes,
             regression_2f, regression_sensitivity, regression_coefficients, regression_predictions,
             kmeans_seed_d2, kmeans_lloyd_steps, kmeans_cost_by_run, kmeans_cost_summary,

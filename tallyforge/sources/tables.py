@@ -29,6 +29,16 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A freshly read table whose file splits are fewer than the cores, dealt out to all cores.
+
+    For jobs that multiply rows or run long per row.  Large inputs have more splits than cores
+    and pass untouched, so what is moved never exceeds one split per core.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
     """Small literal rows (lookups, fixtures) as a table."""
     return spark.createDataFrame(list(rows), schema)
