@@ -84,6 +84,17 @@ def station_years(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFr
     )
 
 
+def line_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as vectors of two entries per return flag, whose components have a closed form."""
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select(
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey").alias("station"),
+        F.col("l_returnflag").alias("measurement"),
+        F.col("l_linenumber").alias("year"),
+        F.array(F.col("l_quantity"), F.col("l_extendedprice") / 1000).alias("values"),
+    )
+
+
 def nested_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as nested records: the two halves of a vector as two measurements."""
     half = lambda name, start: F.struct(

@@ -226,6 +226,39 @@ IDENTITY = f"""
     FROM (SELECT *, value - avg(value) OVER (PARTITION BY measurement, day) AS rest
         FROM ({days(False)})) GROUP BY 1"""
 
+# Two-entry vectors: eigenvalues and vectors of a 2 x 2 matrix in closed form.
+LINES = """
+    WITH l AS (SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey AS station,
+        l_returnflag AS measurement, l_linenumber AS year, l_quantity AS x,
+        l_extendedprice / 1000 AS y FROM lineitem),
+    c AS (SELECT measurement, avg(x) AS mx, avg(y) AS my, var_pop(x) AS a, covar_pop(x, y) AS b,
+        var_pop(y) AS d FROM l GROUP BY 1),
+    e AS (SELECT *, (a + d) / 2 + s * sqrt(((a - d) / 2) ** 2 + b * b) AS eigval, rank
+        FROM c CROSS JOIN (VALUES (1, 1), (2, -1)) AS t(rank, s)),
+    u AS (SELECT *, b / sqrt(b * b + (eigval - a) ** 2) AS p,
+        (eigval - a) / sqrt(b * b + (eigval - a) ** 2) AS q FROM e),
+    v AS (SELECT measurement, mx, my, rank, eigval,
+        p * sign(CASE WHEN abs(p) >= abs(q) THEN p ELSE q END) AS v1,
+        q * sign(CASE WHEN abs(p) >= abs(q) THEN p ELSE q END) AS v2 FROM u),
+    r AS (SELECT station, measurement, year, (x - mx) * v1 + (y - my) * v2 AS coeff,
+        ((x - mx) * v2 - (y - my) * v1) ** 2 / 2 AS mse
+        FROM l JOIN v USING (measurement) WHERE rank = 1)"""
+LINE_COMPONENTS = f"""{LINES}
+    SELECT measurement, rank, {rounded("eigval")} AS eigval,
+        {rounded("eigval / sum(eigval) OVER (PARTITION BY measurement)")} AS ratio,
+        {rounded("sum(eigval) OVER (PARTITION BY measurement ORDER BY rank) / sum(eigval) OVER (PARTITION BY measurement)")}
+            AS cumulative, {rounded("v1")} AS v1, {rounded("v2")} AS v2 FROM v"""
+LINE_ERRORS = f"""{LINES}
+    SELECT station, measurement, year, {rounded("coeff")} AS coeff, {rounded("mse")} AS mse FROM r"""
+LINE_EXTREMES = f"""{LINES},
+    ranked AS (SELECT *,
+        row_number() OVER (PARTITION BY measurement ORDER BY mse, station, year) AS low,
+        row_number() OVER (PARTITION BY measurement ORDER BY mse DESC, station, year) AS high FROM r)
+    SELECT measurement, 'best' AS kind, CAST(low AS INTEGER) AS place, station, year, {rounded("mse")} AS error
+    FROM ranked WHERE low <= 2
+    UNION ALL
+    SELECT measurement, 'worst', CAST(high AS INTEGER), station, year, {rounded("mse")} FROM ranked WHERE high <= 2"""
+
 
 def fixed_basis() -> str:
     def wave(j: int) -> str:
@@ -370,7 +403,8 @@ FIXED = f"""
     SELECT vec_id // {K} AS run, vec_id % {K} AS k, v AS c FROM ({POINTS}) WHERE vec_id < {RUNS * K}"""
 
 
-def seeds() -> str:
+def seed_chain() -> list[str]:
+    """CTEs whose last, ``picks``, holds the drawn (run, place, id)."""
     draws = ", ".join(
         "(" + ", ".join(map(str, [run, place, *cubic(SEED, run, place, 0), *cubic(SEED, run, place, 1)])) + ")"
         for run in range(RUNS)
@@ -401,7 +435,11 @@ def seeds() -> str:
             FROM near_{place} n JOIN p USING (id) JOIN draws d ON d.run = n.run AND d.place = {place}
             WHERE w > 0 GROUP BY n.run)""")
     rows = " UNION ALL ".join(f"SELECT * FROM pick_{i}" for i in range(K))
-    return "WITH " + ",\n".join(ctes) + f" SELECT CAST(run AS INTEGER) AS run, place, id FROM ({rows})"
+    return [*ctes, f"picks AS (SELECT CAST(run AS INTEGER) AS run, place, id FROM ({rows}))"]
+
+
+def seeds() -> str:
+    return "WITH " + ",\n".join(seed_chain()) + " SELECT * FROM picks"
 
 
 def assigned(centers: str) -> str:
@@ -412,22 +450,56 @@ def assigned(centers: str) -> str:
         FROM ({POINTS}) CROSS JOIN ({centers}) GROUP BY run, vec_id"""
 
 
-def rounds() -> str:
-    ctes = [f"c_0 AS MATERIALIZED ({FIXED})"]
-    for step in range(STEPS):
-        ctes.append(f"a_{step} AS MATERIALIZED ({assigned(f'SELECT * FROM c_{step}')})")
-        ctes.append(f"""c_{step + 1} AS MATERIALIZED (
+def moved(step: int) -> list[str]:
+    """CTEs a_<step> (assignment to c_<step>) and m_<step> (the centres after the round)."""
+    return [
+        f"a_{step} AS MATERIALIZED ({assigned(f'SELECT run, k, c FROM c_{step}')})",
+        f"""m_{step} AS MATERIALIZED (
             SELECT run, k, coalesce(n.c, o.c) AS c FROM c_{step} o LEFT JOIN (
                 SELECT run, k, list(x ORDER BY dim) AS c FROM (
                     SELECT run, k, dim, avg(x) AS x FROM (
                         SELECT run, k, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM a_{step})
-                    GROUP BY ALL) GROUP BY ALL) n USING (run, k))""")
+                    GROUP BY ALL) GROUP BY ALL) n USING (run, k))""",
+    ]
+
+
+def rounds() -> str:
+    ctes = [f"c_0 AS MATERIALIZED ({FIXED})"]
+    for step in range(STEPS):
+        ctes += [*moved(step), f"c_{step + 1} AS (SELECT * FROM m_{step})"]
     return "WITH " + ",\n".join(ctes) + f"""
         SELECT CAST(run AS INTEGER) AS run, CAST(k AS INTEGER) AS k, CAST(dim AS INTEGER) AS dim,
             {rounded("x")} AS value
         FROM (SELECT run, k, unnest(c) AS x, generate_subscripts(c, 1) AS dim FROM c_{STEPS})"""
 
 
+ROUNDS_AT_MOST = 16  # the given tables settle after 7 to 11
+
+
+def whole_clustering() -> str:
+    """Draws, then rounds that change nothing any more once the largest shift is 0.1 or less."""
+    ctes = seed_chain()
+    ctes.append(f"c_0 AS MATERIALIZED (SELECT run, place AS k, v AS c FROM picks JOIN ({POINTS}) USING (id))")
+    ctes.append("done_0 AS (SELECT false AS done)")
+    for step in range(ROUNDS_AT_MOST):
+        ctes += moved(step)
+        ctes.append(f"""done_{step + 1} AS MATERIALIZED (
+            SELECT (SELECT done FROM done_{step}) OR max(shift) <= 0.1 AS done FROM (
+                SELECT run, sum(list_distance(o.c, n.c)) AS shift
+                FROM c_{step} o JOIN m_{step} n USING (run, k) GROUP BY run))""")
+        ctes.append(f"""c_{step + 1} AS MATERIALIZED (
+            SELECT run, k, CASE WHEN (SELECT done FROM done_{step}) THEN o.c ELSE n.c END AS c
+            FROM c_{step} o JOIN m_{step} n USING (run, k))""")
+    last = f"c_{ROUNDS_AT_MOST}"
+    ctes.append(f"""costs AS (SELECT run, sum(d2) AS cost
+        FROM ({assigned(f"SELECT run, k, c FROM {last}")}) GROUP BY 1)""")
+    return "WITH " + ",\n".join(ctes) + f"""
+        SELECT run, CAST(k AS INTEGER) AS k, CAST(dim AS INTEGER) AS dim, {rounded("x")} AS value,
+            {rounded("cost", 4)} AS cost
+        FROM (SELECT run, k, unnest(c) AS x, generate_subscripts(c, 1) AS dim FROM {last})
+        JOIN costs USING (run)"""
+
+
 COSTS = f"SELECT run, sum(d2) AS cost FROM ({assigned(FIXED)}) GROUP BY 1"
 ENTROPY = f"""
     WITH a AS MATERIALIZED (SELECT vec_id, list(k ORDER BY run) AS sig FROM ({assigned(FIXED)}) GROUP BY 1),
@@ -473,6 +545,9 @@ ORACLES: dict[str, str] = {
     "covariance_matrix": f"SELECT measurement, i, j, n, {rounded('cov')} AS cov FROM ({covariance(True)})",
     "eigen_invariants": INVARIANTS,
     "full_rank_identity": IDENTITY,
+    "components_lines": LINE_COMPONENTS,
+    "reconstruction_lines": LINE_ERRORS,
+    "extremes_lines": LINE_EXTREMES,
     "reconstruction_fixed_basis": fixed_basis(),
     "regression_2f": two_features(),
     "regression_sensitivity": sensitivity(),
@@ -480,6 +555,7 @@ ORACLES: dict[str, str] = {
     "regression_predictions": PREDICTED,
     "kmeans_seed_d2": seeds(),
     "kmeans_lloyd_steps": rounds(),
+    "kmeans_full": whole_clustering(),
     "kmeans_cost_by_run": f"SELECT CAST(run AS INTEGER) AS run, {rounded('cost', 4)} AS cost FROM ({COSTS})",
     "kmeans_cost_summary": f"""SELECT {rounded("log2(max(cost))")} AS log2_max,
         {rounded("log2(min(cost))")} AS log2_min, {rounded("log2(avg(cost))")} AS log2_mean,

@@ -264,6 +264,37 @@ def eigenvectors_top3(spark, sf_dir):
     return components.component_series(components.eigenpairs(rows, 3))
 
 
+def components_lines(spark, sf_dir):
+    """Variance shares and unit vectors of order lines (quantity, price)."""
+    pairs = components.eigenpairs(components.covariance_rows(inputs.line_vectors(spark, sf_dir)))
+    shares = components.explained_variance(pairs).join(
+        pairs.select("measurement", "rank", "eigvec"), ["measurement", "rank"]
+    )
+    return shares.select(
+        "measurement", "rank",
+        *[rounded(c).alias(c) for c in ("eigval", "ratio", "cumulative")],
+        *[rounded(F.col("eigvec")[i]).alias(f"v{i + 1}") for i in (0, 1)],
+    )
+
+
+def reconstruction_lines(spark, sf_dir):
+    """Every order line on the first component of its return flag."""
+    rows = inputs.line_vectors(spark, sf_dir)
+    errors = components.reconstruct(rows, components.fit_basis(rows, k=1))
+    return errors.select(
+        "station", "measurement", "year",
+        rounded(F.col("coeff")[0]).alias("coeff"), rounded(F.col("mse")[0]).alias("mse"),
+    )
+
+
+def extremes_lines(spark, sf_dir):
+    """The two best and two worst rebuilt order lines per return flag."""
+    rows = inputs.line_vectors(spark, sf_dir)
+    errors = components.reconstruct(rows, components.fit_basis(rows, k=1))
+    chosen = components.extremes(errors)
+    return chosen.select("measurement", "kind", "place", "station", "year", rounded("error").alias("error"))
+
+
 def reconstruction_fixed_basis(spark, sf_dir):
     """Projection on the day means and three cosine waves: the whole reconstruction, with a basis
     that SQL can write down."""
@@ -396,7 +427,12 @@ def kmeans_full(spark, sf_dir):
     points = inputs.points(spark, sf_dir)
     result = clustering.kmeans(points, K, RUNS, SEED)
     costs = clustering.cost_by_run(points, result.centers)
-    return clustering.centers_table(spark, result).join(costs, "run")
+    centers = clustering.centers_table(spark, result).join(costs, "run")
+    rows = centers.select("run", "k", "cost", F.posexplode("center").alias("pos", "value"))
+    return rows.select(
+        "run", "k", (F.col("pos") + 1).alias("dim"), rounded("value").alias("value"),
+        rounded("cost", 4).alias("cost"),
+    )
 
 
 # --- tree ensembles --------------------------------------------------------------------------
@@ -438,6 +474,7 @@ QUERIES: dict[str, Query] = {
             profile_day_stats, profile_band, profile_missing_days, profile_scalars,
             profile_histogram, nested_flatten, derived_measures, station_selection,
             covariance_matrix, eigen_invariants, full_rank_identity, explained_variance, eigenvectors_top3,
+            components_lines, reconstruction_lines, extremes_lines,
             reconstruction_fixed_basis, reconstruction_error, reconstruction_extremes,
             regression_2f, regression_sensitivity, regression_coefficients, regression_predictions,
             kmeans_seed_d2, kmeans_lloyd_steps, kmeans_cost_by_run, kmeans_cost_summary,
