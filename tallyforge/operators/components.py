@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.functions.vectors import list_column, matrix
 from tallyforge.joins import table_bytes
-from tallyforge.operators.profiles import day_profile
 from tallyforge.session import materialise
 
 MODEL_BYTES = 256 * 1024 * 1024
@@ -26,21 +25,21 @@ OPEN_MEASURES = 8  # measures whose sums a task holds before it passes them on
 
 def _measures(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
     """Rows of each measure within one batch."""
-    names = np.asarray(batch.column("measurement").to_pylist(), dtype=object)
-    for name in sorted(set(names)):
-        yield name, np.flatnonzero(names == name)
+    coded = batch.column("measurement").dictionary_encode()
+    codes = coded.indices.to_numpy()
+    for code, name in enumerate(coded.dictionary.to_pylist()):
+        yield name, np.flatnonzero(codes == code)
 
 
 def mean_vectors(station_years: DataFrame) -> DataFrame:
     """``measurement, mean``: the day means in day order (NaN for a day without values)."""
-    width = station_years.groupBy("measurement").agg(F.max(F.size("values")).alias("d"))
-    by_day = F.map_from_entries(F.collect_list(F.struct("day", "mean")))
-    means = day_profile(station_years).groupBy("measurement").agg(by_day.alias("by_day"))
-    days = F.transform(
-        F.sequence(F.lit(1), F.col("d")),
-        lambda day: F.coalesce(F.try_element_at("by_day", day), F.lit(float("nan"))),
+    rows = station_years.select("measurement", F.posexplode_outer("values").alias("pos", "value"))
+    recorded = F.when(~F.isnan("value"), F.col("value"))
+    days = rows.where(F.col("pos").isNotNull()).groupBy("measurement", "pos").agg(
+        F.coalesce(F.avg(recorded), F.lit(float("nan"))).alias("mean")
     )
-    return width.join(means, "measurement").select("measurement", days.alias("mean"))
+    in_order = F.sort_array(F.collect_list(F.struct("pos", "mean")))
+    return days.groupBy("measurement").agg(F.transform(in_order, lambda d: d["mean"]).alias("mean"))
 
 
 def _local_models(models: DataFrame) -> dict[str, dict] | None:
@@ -66,14 +65,19 @@ def _with_models(rows: DataFrame, models: DataFrame):
     return known, lambda batch, name, at, field: shared.value[name][field]
 
 
-def covariance_sums(station_years: DataFrame, means: DataFrame) -> DataFrame:
+def covariance_sums(
+    station_years: DataFrame, means: DataFrame, tasks: int | None = None
+) -> DataFrame:
     """``measurement, i, n, sx, sy, sxy``: row i of the pairwise-complete sums of the centred
-    vectors, as vectors over j."""
+    vectors, as vectors over j.
+
+    A task passes on 24 * d * d bytes per measure whatever it reads, so on very large inputs read
+    bigger splits (spark.sql.files.maxPartitionBytes) or give ``tasks`` to merge splits without
+    moving a row.
+    """
     rows, model = _with_models(station_years.select("measurement", "values"), means)
-    # Fewer, longer tasks: a task's output is d x d whatever its input, so this bounds the
-    # exchange without moving a row.
-    most = rows.sparkSession.sparkContext.defaultParallelism * 4
-    rows = rows.coalesce(most)
+    if tasks is not None:
+        rows = rows.coalesce(tasks)
 
     def flush(sums: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for name, (n, sx, sxy) in sums.items():
@@ -118,10 +122,14 @@ def covariance_sums(station_years: DataFrame, means: DataFrame) -> DataFrame:
     return parts.groupBy("measurement", "i").agg(*totals)
 
 
-def covariance_rows(station_years: DataFrame) -> DataFrame:
+def covariance_rows(
+    station_years: DataFrame, tasks: int | None = None, means: DataFrame | None = None
+) -> DataFrame:
     """``measurement, i, n array, cov array``: population covariance over the vectors that have
     both days; NaN where no vector has both."""
-    sums = covariance_sums(station_years, mean_vectors(station_years))
+    if means is None:
+        means = mean_vectors(station_years)
+    sums = covariance_sums(station_years, means, tasks)
     cells = F.arrays_zip("n", "sx", "sy", "sxy")
     cov = F.transform(
         cells,
@@ -208,19 +216,20 @@ def reconstruct(station_years: DataFrame, model: DataFrame, keep_vectors: bool =
     squared error of mean + first k parts.  Vectors with a missing entry have no error and are
     left out; an exact fit keeps its zero.  k dot products per row, no d x d projector.
     """
-    complete = station_years.where(
-        ~F.exists("values", lambda x: x.isNull() | F.isnan(x))
-    ).select("station", "measurement", "year", "values")
-    rows, lookup = _with_models(complete, model)
+    rows, lookup = _with_models(
+        station_years.select("station", "measurement", "year", "values"), model
+    )
     keys = ["station", "measurement", "year"]
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, at in _measures(batch):
-                part = batch.take(pa.array(at))
                 mean = lookup(batch, name, int(at[0]), "mean")
                 basis = lookup(batch, name, int(at[0]), "basis").reshape(-1, len(mean))
-                rest = matrix(part.column("values"), len(mean)) - mean
+                values = matrix(batch.column("values").take(pa.array(at)), len(mean))
+                complete = ~np.isnan(values).any(axis=1)
+                rest = values[complete] - mean
+                part = batch.take(pa.array(at[complete]))
                 coeff = rest @ basis.T
                 errors, rebuilt, done = [], [], np.zeros_like(rest) + mean
                 for j, unit in enumerate(basis):
@@ -245,10 +254,11 @@ def reconstruct(station_years: DataFrame, model: DataFrame, keep_vectors: bool =
     return rows.mapInArrow(project, schema)
 
 
-def fit_basis(station_years: DataFrame, k: int = 3) -> DataFrame:
-    """Model of :func:`reconstruct` learned from the vectors themselves."""
+def fit_basis(station_years: DataFrame, k: int = 3, tasks: int | None = None) -> DataFrame:
+    """Model of :func:`reconstruct` learned from the vectors themselves, in two passes: means,
+    then covariance around them."""
     means = materialise(mean_vectors(station_years))
-    return basis_model(means, eigenpairs(covariance_rows(station_years), k), k)
+    return basis_model(means, eigenpairs(covariance_rows(station_years, tasks, means), k), k)
 
 
 def extremes(errors: DataFrame, count: int = 2) -> DataFrame:

@@ -19,7 +19,7 @@ def _recorded(value: str) -> Column:
 
 def day_values(station_years: DataFrame, keys: Sequence[str] = ("measurement",)) -> DataFrame:
     """Rows (keys..., day, value), day from 1, missing entries left out."""
-    rows = station_years.select(*keys, F.posexplode("values").alias("pos", "value"))
+    rows = station_years.select(*keys, F.posexplode_outer("values").alias("pos", "value"))
     recorded = rows.where(_recorded("value"))
     return recorded.select(*keys, (F.col("pos") + 1).alias("day"), "value")
 
@@ -39,7 +39,8 @@ def day_profile(station_years: DataFrame, keys: Sequence[str] = ("measurement",)
 
 def day_counts(station_years: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys..., day, rows, recorded, missing``: also days nobody recorded."""
-    rows = station_years.select(*keys, F.posexplode("values").alias("pos", "value"))
+    rows = station_years.select(*keys, F.posexplode_outer("values").alias("pos", "value"))
+    rows = rows.where(F.col("pos").isNotNull())
     present = F.count_if(_recorded("value"))
     counts = rows.groupBy(*keys, (F.col("pos") + 1).alias("day")).agg(
         F.count(F.lit(1)).alias("rows"), present.alias("recorded")
@@ -61,9 +62,11 @@ def exact_percentiles(
     value: str,
     per_mille: dict[str, int],
     accuracy: int = 10_000,
+    more: Sequence[Column] = (),
 ) -> DataFrame:
     """``keys..., n, <one column per name>``: smallest value whose share of values at or below
-    reaches the given parts per thousand, exact.
+    reaches the given parts per thousand, exact.  ``more`` are aggregates of ``value`` to take
+    along in the first pass.
 
     No task ever holds all values of a key.  A sketch brackets each wanted rank; one more pass
     counts the values under the bracket and keeps only the (value, count) pairs inside it, about
@@ -79,6 +82,7 @@ def exact_percentiles(
         return values.groupBy(*keys).agg(
             F.count("value").alias("n"),
             F.percentile_approx("value", edges, accuracy).alias("edges"),
+            *more,
         )
 
     def ranks_in(brackets: DataFrame, everything: bool) -> DataFrame:
@@ -87,7 +91,7 @@ def exact_percentiles(
         each = brackets.select("*", F.posexplode(wanted).alias("which", "share"))
         # smallest whole number not under n * share / 1000, at least 1
         rank = F.greatest(F.expr("(n * share + 999) div 1000"), F.lit(1))
-        targets = each.select(*keys, "n", "which", rank.alias("target"), low.alias("lo"), high.alias("hi"))
+        targets = each.select(*keys, "which", rank.alias("target"), low.alias("lo"), high.alias("hi"))
         packed = targets.groupBy(*keys).agg(F.collect_list(F.struct("which", "lo", "hi")).alias("b"))
         rows = join_small(values, materialise(packed), keys, salt_by=["value"])
         rows = rows.select(*keys, "value", F.inline("b"))
@@ -106,7 +110,7 @@ def exact_percentiles(
         found = reached.where(F.col("reached") >= F.col("target")).groupBy(*keys, "which").agg(
             hit.alias("value")
         )
-        return targets.select(*keys, "n", "which").join(found, [*keys, "which"], "left")
+        return targets.select(*keys, "which").join(found, [*keys, "which"], "left")
 
     for margin in (2 / accuracy, 100 / accuracy, 1.0):
         brackets = materialise(bracket(margin))
@@ -114,20 +118,16 @@ def exact_percentiles(
         if found.where(F.col("value").isNull()).isEmpty():
             break
     columns = [F.max(F.when(F.col("which") == i, F.col("value"))).alias(n) for i, n in enumerate(names)]
-    return found.groupBy(*keys).agg(F.first("n").alias("n"), *columns)
+    return brackets.drop("edges").join(found.groupBy(*keys).agg(*columns), keys)
 
 
 def measure_stats(
     df: DataFrame, key: str = "measurement", value: str = "value", accuracy: int = 10_000
 ) -> DataFrame:
     """``key, n, mean, std`` and the four tail percentiles of each measure."""
-    moments = (
-        df.where(_recorded(value))
-        .groupBy(key)
-        .agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
-    )
-    tails = exact_percentiles(df, [key], value, TAILS, accuracy)
-    return moments.join(tails, key).select(key, "n", "mean", "std", *TAILS)
+    moments = [F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")]
+    tails = exact_percentiles(df, [key], value, TAILS, accuracy, moments)
+    return tails.select(key, "n", "mean", "std", *TAILS)
 
 
 def histogram(

@@ -46,11 +46,14 @@ def parse_messages(lines: DataFrame, raw: str = "value", schema: T.StructType =
     """
     marked = T.StructType(schema.fields + [T.StructField("_last", T.BooleanType())])
     wrapped = F.concat(F.lit("["), F.col(raw), F.lit(',{"_last":true}]'))
-    parsed = lines.withColumn("_parsed", F.from_json(wrapped, T.ArrayType(marked)))
+    parsed = F.from_json(wrapped, T.ArrayType(marked))
+    # Exploding a one-element array fixes the parsed value as a column of its own; a plain column
+    # would be substituted into every later filter and projection and parsed again in each.
+    fixed = lines.select("*", F.explode_outer(F.array(parsed)).alias("_parsed"))
     whole = (F.size("_parsed") == 2) & F.try_element_at("_parsed", F.lit(2)).getField("_last")
     first = F.try_element_at("_parsed", F.lit(1))
     message = F.struct(*[first.getField(f.name).alias(f.name) for f in schema.fields])
-    return parsed.withColumn("message", F.when(whole, message)).drop("_parsed")
+    return fixed.withColumn("message", F.when(whole, message)).drop("_parsed")
 
 
 def posts(lines: DataFrame, raw: str = "value") -> DataFrame:
