@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.functions.vectors import list_column, matrix
-from tallyforge.joins import table_bytes
+from tallyforge.joins import join_small, table_bytes
 from tallyforge.session import materialise
 
 MODEL_BYTES = 256 * 1024 * 1024
@@ -288,9 +288,9 @@ def extreme_series(station_years: DataFrame, model: DataFrame, count: int = 2) -
         )
     )
     keys = ["station", "measurement", "year"]
-    picked = station_years.join(F.broadcast(chosen.select(*keys).distinct()), keys, "left_semi")
-    vectors = reconstruct(picked, model, keep_vectors=True).join(F.broadcast(chosen), keys)
-    vectors = vectors.join(model, "measurement")
+    picked = join_small(station_years, chosen.select(*keys).distinct(), keys)
+    vectors = join_small(reconstruct(picked, model, keep_vectors=True), chosen, keys)
+    vectors = join_small(vectors, model, ["measurement"])
     d = F.size("values")
     rebuilt = F.transform(
         F.sequence(F.lit(0), F.size("mse") - 1),

@@ -6,19 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BUCKETS = 1 << 32
+def hash_place(ids: Sequence[str], seed: int = 0) -> Column:
+    """Eight hexadecimal digits from the ids and a seed: where a row lies between 00000000 and
+    ffffffff, whatever the partitioning and however often a lost task is re-run."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids])
+    return F.substring(F.md5(text), 1, 8)
 
 
-def hash_bucket(ids: Sequence[str], seed: int = 0) -> Column:
-    """Whole number in [0, 2**32) from the ids and a seed: the same row always falls in the same
-    bucket, whatever the partitioning and however often a lost task is re-run."""
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+def _below(place: Column, fraction: float) -> Column:
+    """True for about ``fraction`` of all places; digits compare as text."""
+    edge = int(fraction * (1 << 32))
+    return F.lit(True) if edge >= 1 << 32 else place < F.lit(f"{edge:08x}")
 
 
 def hash_sample(df: DataFrame, ids: Sequence[str], fraction: float, seed: int = 0) -> DataFrame:
     """Sample without replacement of about ``fraction`` of the rows."""
-    return df.where(hash_bucket(ids, seed) < int(fraction * BUCKETS))
+    return df.where(_below(hash_place(ids, seed), fraction))
 
 
 def hash_split(
@@ -30,14 +33,12 @@ def hash_split(
 ) -> DataFrame:
     """Adds the name of the set each row belongs to; no row is moved."""
     total = sum(weight for _, weight in weights)
-    bucket = hash_bucket(ids, seed)
-    name, reached = None, 0.0
+    place = hash_place(ids, seed)
+    name, reached = F.when(F.lit(False), F.lit("")), 0.0
     for label, weight in weights[:-1]:
         reached += weight
-        edge = bucket < int(reached / total * BUCKETS)
-        name = F.when(edge, label) if name is None else name.when(edge, label)
-    last = weights[-1][0]
-    return df.withColumn(column, F.lit(last) if name is None else name.otherwise(last))
+        name = name.when(_below(place, reached / total), F.lit(label))
+    return df.withColumn(column, name.otherwise(F.lit(weights[-1][0])))
 
 
 def random_sample(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:

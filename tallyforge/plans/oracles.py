@@ -129,7 +129,7 @@ SHARES = f"""
     FROM orders GROUP BY 1"""
 NAMES = ", ".join(f"({label}, {quoted(name)})" for label, name in COVER_NAMES)
 NAMED_SHARES = f"""
-    SELECT CAST(e.label AS DOUBLE) AS label, name, count(*) AS n,
+    SELECT CAST(e.label AS DOUBLE) AS label, coalesce(name, 'no name') AS name, count(*) AS n,
         {rounded("100.0 * count(*) / (SELECT count(*) FROM embeddings)", 4)} AS percent
     FROM embeddings e LEFT JOIN (VALUES {NAMES}) AS c(label, name) ON e.label = c.label
     GROUP BY 1, 2"""

@@ -26,6 +26,7 @@ from tallyforge.sources import messages, numeric, stations, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 MIN_USERS = 20
+# Clusters, parallel runs and seed of the clustering; seed of the splits.
 SEED = 60295531
 K, RUNS = 5, 25
 STEPS = 3
@@ -149,7 +150,9 @@ def class_distribution(spark, sf_dir):
 def class_distribution_named(spark, sf_dir):
     rows = inputs.vectors(spark, sf_dir).select(F.col("label").cast("double").alias("label"))
     shares = sampling.class_distribution(rows, "label", numeric.cover_names(spark))
-    return shares.withColumn("percent", rounded("percent", 4))
+    return shares.withColumn("name", F.coalesce("name", F.lit("no name"))).withColumn(
+        "percent", rounded("percent", 4)
+    )
 
 
 def hash_sample_split(spark, sf_dir):
