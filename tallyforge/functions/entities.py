@@ -10,10 +10,15 @@ NUMBERED = r"&#[0-9]+;"
 NAMED = r"&[A-Za-z0-9_]+;"
 
 
-def _replace_each(text: Column, pattern: str, meaning) -> Column:
-    """Cut the text into matches of ``pattern`` and the pieces between, and map the matches."""
+def _replace_each(text: Column, start: str, pattern: str, meaning) -> Column:
+    """Cut the text into matches of ``pattern`` and the pieces between, and map the matches.
+
+    Only texts that contain the first characters of a match are cut, and only pieces that begin
+    with them are looked at.
+    """
     pieces = F.regexp_extract_all(text, F.lit(f"{pattern}|[^&]+|&"), F.lit(0))
-    return F.array_join(F.transform(pieces, meaning), "")
+    mapped = F.transform(pieces, lambda p: F.when(p.startswith(start), meaning(p)).otherwise(p))
+    return F.when(text.contains(start), F.array_join(mapped, "")).otherwise(text)
 
 
 def _numbered(piece: Column) -> Column:
@@ -27,7 +32,8 @@ def _numbered(piece: Column) -> Column:
 def _named(piece: Column) -> Column:
     names = sorted(name for name in name2codepoint if name != "amp")
     table = F.create_map(*[F.lit(x) for n in names for x in (f"&{n};", chr(name2codepoint[n]))])
-    return F.coalesce(F.try_element_at(table, piece), piece)
+    known = F.when(F.length(piece) > 2, F.try_element_at(table, piece))
+    return F.coalesce(known, piece)
 
 
 def decode_entities(text: Column, decode_amp: bool = True) -> Column:
@@ -36,7 +42,8 @@ def decode_entities(text: Column, decode_amp: bool = True) -> Column:
     Numbers are decoded before names.  Unknown names and impossible numbers stay as they are.
     The name table is the standard HTML 4 one.  Texts without an ampersand skip the work.
     """
-    numbers_done = _replace_each(text, NUMBERED, _numbered)
-    decoded = _replace_each(numbers_done, NAMED, _named)
-    decoded = F.when(text.contains("&"), decoded).otherwise(text)
+    numbers_done = _replace_each(text, "&#", NUMBERED, _numbered)
+    named = _replace_each(text, "&", NAMED, _named)
+    both = _replace_each(numbers_done, "&", NAMED, _named)
+    decoded = F.when(text.contains("&#"), both).otherwise(named)
     return F.replace(decoded, F.lit("&amp;"), F.lit(" and ")) if decode_amp else decoded
