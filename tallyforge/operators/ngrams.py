@@ -7,33 +7,49 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.functions.text import explode_ngrams
+from tallyforge.session import materialise
 
 
 def count_ngrams(
-    df: DataFrame, text: str, sizes: Sequence[int], punct: str = "space", ascii_only: bool = False
+    df: DataFrame,
+    text: str,
+    sizes: Sequence[int],
+    punct: str = "space",
+    ascii_only: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``n, ngram, count`` of every n-gram.  One scan for all sizes; frequent n-grams are summed
-    before the shuffle, so no n-gram is a hot key."""
+    before the shuffle, so no n-gram is a hot key.
+
+    A task makes up to ``len(sizes)`` n-grams per word.  Where splits are large, ``tasks`` deals
+    the texts out first; some 20 MB of text per task keep the summing in memory, which is worth
+    more than the move of the texts.
+    """
+    if tasks is not None:
+        df = df.select(text).repartition(tasks)
     grams = explode_ngrams(df, text, sizes, punct, ascii_only)
     return grams.groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("count"))
 
 
+def _best(counts: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("n").orderBy(F.desc("count"), F.asc("ngram"))
+    ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("n", "rank", "count", "ngram")
+
+
 def top_ngrams(
-    df: DataFrame,
-    text: str,
-    sizes: Sequence[int] = (1, 2, 3, 4, 5),
-    k: int = 5,
-    punct: str = "space",
-    ascii_only: bool = False,
+    df: DataFrame, text: str, sizes: Sequence[int] = (1, 2, 3, 4, 5), k: int = 5, **options
 ) -> DataFrame:
     """``n, rank, count, ngram``: the ``k`` most frequent per size, ties by n-gram ascending.
 
-    Every task keeps at most ``k`` rows per size before the last exchange.
+    Most n-grams occur once and need no sorting as long as ``k`` others of their size occur more
+    often, so those that do are ranked first; only if they are too few, all are.  Every task keeps
+    at most ``k`` rows per size before the last exchange.
     """
-    counts = count_ngrams(df, text, sizes, punct, ascii_only)
-    order = Window.partitionBy("n").orderBy(F.desc("count"), F.asc("ngram"))
-    ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("n", "rank", "count", "ngram")
+    counts = count_ngrams(df, text, sizes, **options)
+    repeated = materialise(_best(counts.where(F.col("count") > 1), k))
+    filled = repeated.groupBy("n").count().where(F.col("count") == k).count()
+    return repeated if filled == len(set(sizes)) else _best(counts, k)
 
 
 def sorted_ngrams(df: DataFrame, text: str, n: int, **options) -> DataFrame:

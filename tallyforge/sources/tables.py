@@ -29,14 +29,18 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+TASKS_PER_CORE = 4
+
+
 def spread(table: DataFrame) -> DataFrame:
-    """A freshly read table whose file splits are fewer than the cores, dealt out to all cores.
+    """A freshly read table of few file splits, dealt out to a few tasks per core.
 
-    For jobs that multiply rows or run long per row.  Large inputs have more splits than cores
-    and pass untouched, so what is moved never exceeds one split per core.
+    For jobs that multiply rows or run long per row: small tasks also let the combining before an
+    exchange stay in memory.  Large inputs have more splits than that and pass untouched, so what
+    is moved never exceeds a few splits per core.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    tasks = table.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
+    return table if table.rdd.getNumPartitions() >= tasks else table.repartition(tasks)
 
 
 def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:

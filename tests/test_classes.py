@@ -98,5 +98,5 @@ def test_results_round_trip(spark, tmp_path):
 
 def test_spread_only_moves_small_tables(spark):
     few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
-    assert tables.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert tables.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 4
     assert tables.spread(many) is many

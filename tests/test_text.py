@@ -66,6 +66,15 @@ def test_ties_by_ngram(spark, corpus_df):
     assert [r.ngram for r in ngrams.sorted_ngrams(corpus_df, "text", 1).limit(3).collect()] == ["a", "b", "x"]
 
 
+def test_few_repeated_ngrams(spark):
+    """Sizes without k repeated n-grams still get their k, or all there are."""
+    df = spark.createDataFrame([("a a b c",), ("d e",)], "text string")
+    top = [tuple(r) for r in ngrams.top_ngrams(df, "text", [1, 2, 5], k=2).orderBy("n", "rank").collect()]
+    assert top == [(1, 1, 2, "a"), (1, 2, 1, "b"), (2, 1, 1, "a a"), (2, 2, 1, "a b")]
+    dealt = ngrams.count_ngrams(df, "text", [1], tasks=3)
+    assert rows(dealt) == rows(ngrams.count_ngrams(df, "text", [1]))
+
+
 def test_paragraphs_and_manifest(spark, tmp_path):
     (tmp_path / "book.txt").write_bytes(b"one\r\ntwo\r\n\r\nthree\r\n\r\n\r\n\r\nfour")
     found = [r.value for r in corpus.read_paragraphs(spark, str(tmp_path / "book.txt")).collect()]
