@@ -27,7 +27,7 @@ def moments(df: DataFrame, columns: Sequence[str], set_column: str) -> DataFrame
     All sums are built-in aggregates with partial results per task: one row per set and task
     crosses the exchange.
     """
-    rows = df.select(set_column, *[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    rows = df.select(set_column, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=list(columns))
     first = rows.select(*columns).limit(1).first()
     pivot = [float(first[c]) for c in columns] if first else [0.0] * len(columns)
     terms = [F.lit(1.0)] + [F.col(c) - F.lit(p) for c, p in zip(columns, pivot)]
