@@ -111,11 +111,13 @@ def explode_tokens(
 ) -> DataFrame:
     """Rows (keys..., token).  Same tokens as :func:`tokenize`; case folding runs per row in
     generated code instead of inside an array lambda."""
-    cleaned = clean_text(F.col(text), escape_non_ascii, decode_amp)
-    texts = df.select(*keys, cleaned.alias("_text"))
-    # The cleaned text is a column of its own because array lambdas, which decoding needs, would
-    # take the whole generator out of generated code.  explode_outer, because an inner explode
-    # makes the optimiser run the pattern twice per text, once for a "has any token" filter.
+    raw = escape_text(F.col(text)) if escape_non_ascii else F.col(text)
+    raws = df.select(*keys, raw.alias("_raw"))
+    texts = raws.select(*keys, decode_entities(F.col("_raw"), decode_amp).alias("_text"))
+    # Each step is a column of its own: decoding refers to its input several times, and array
+    # lambdas, which it needs, would take the whole generator out of generated code.
+    # explode_outer, because an inner explode makes the optimiser run the pattern twice per text,
+    # once for a "has any token" filter.
     rows = texts.select(*keys, F.explode_outer(token_array(F.col("_text"))).alias("token"))
     rows = rows.where(F.col("token").isNotNull())
     if preserve_case:

@@ -119,6 +119,9 @@ def test_token_rows_equal_token_arrays(spark):
     by_row = tokens.explode_tokens(texts, ["i"], "t")
     by_array = texts.select("i", F.explode(tokens.tokenize(F.col("t"))).alias("token"))
     assert rows(by_row) == rows(by_array)
+    escaped = tokens.explode_tokens(texts, ["i"], "t", escape_non_ascii=True)
+    by_array = texts.select("i", F.explode(tokens.tokenize(F.col("t"), escape_non_ascii=True)).alias("token"))
+    assert rows(escaped) == rows(by_array)
 
 
 def test_entities(spark):
