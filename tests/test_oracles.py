@@ -4,9 +4,8 @@ import pytest
 from oracle_check import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-ORACLES = oracle_sql()
-QUERIES = queries()
+from tallyforge.plans.oracles import ORACLES
+from tallyforge.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +22,7 @@ def test_same_rows(spark, con, sf_dir, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_without_oracle_are_only_models_without_a_closed_form():
