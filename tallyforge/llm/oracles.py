@@ -36,6 +36,25 @@ FROM (SELECT doc_id, source,
 JOIN owned USING (slot) JOIN shards USING (i)
 """
 
+# Base32 takes five bits a character: four characters from every five hexadecimal digits.
+_BASE32 = "\n    || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1, {at}, 5))::BIGINT >> {shift}) & 31)::INTEGER + 1, 1)"
+    for at in range(1, 41, 5)
+    for shift in (15, 10, 5, 0)
+)
+WARC = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha1 FROM pages
+), typed AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS response_id FROM payloads
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to
+FROM typed
+"""
+
 ORACLES: dict[str, str] = {
     "op1_sharding": SHARDING,
+    "op2_warc": WARC,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import sharding
+from tallyforge.llm import sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page as a WARC record, then read all archives back through the index."""
+    folder, index = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_records(folder, index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_warc": op2_warc,
 }
