@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import sharding, warc
+from tallyforge.llm import sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or trees' verdict of every page's URL."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
+    "op3_url_filter": op3_url_filter,
 }
