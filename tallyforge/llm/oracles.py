@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import sharding
+from tallyforge.llm import quality, sharding
 
 _SHARDS, _SIZE = len(sharding.SHARDS), sharding.TABLE_SIZE
 
@@ -54,7 +54,51 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_d
 FROM typed
 """
 
+_STOP = ", ".join("'" + word + "'" for word in dict.fromkeys(quality.STOP_WORDS))
+QUALITY = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT nr, doc_id, text,
+    list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM texts
+), starts AS (
+  SELECT nr, unnest(range(1, len(words) - 1)) AS pos,
+    unnest(list_transform(range(1, len(words) - 1),
+      lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) AS win
+  FROM split WHERE len(words) >= 3
+), repeated AS (
+  SELECT nr, pos FROM starts QUALIFY count(*) OVER (PARTITION BY nr, win) > 1
+), covered AS (
+  SELECT nr, count(DISTINCT pos + k) AS n FROM repeated, range(3) t(k) GROUP BY nr
+), counts AS (
+  SELECT doc_id, len(words) AS n_words,
+    length(list_aggregate(words, 'string_agg', '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words,
+    len(lines) AS n_lines,
+    length(text) - length(replace(text, '!', '')) AS n_exclamations,
+    len(list_filter(words, lambda w: trim(lower(w), '.,;:!?"''()|') IN ({_STOP}))) AS n_stop_words,
+    len(list_filter(lines, lambda l: l LIKE '%...' OR l LIKE '%…')) AS n_ellipsis_lines,
+    len(list_filter(lines, lambda l: regexp_matches(l, '^[\\x20\\x09-\\x0D]*[-*•]'))) AS n_bullet_lines
+  FROM split LEFT JOIN covered USING (nr)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+)
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+  n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND word_chars / n_words BETWEEN 3 AND 10 AND n_symbols / n_words <= 0.1
+    AND n_exclamations / n_words <= 0.5 AND n_stop_words / n_words >= 0.05
+    AND n_dup_lines / greatest(n_lines, 1) <= 0.4 AND n_ellipsis_lines / greatest(n_lines, 1) <= 0.5
+    AND n_bullet_lines / greatest(n_lines, 1) <= 0.9 AS kept
+FROM judged
+"""
+
 ORACLES: dict[str, str] = {
     "op1_sharding": SHARDING,
     "op2_warc": WARC,
+    "op4_quality": QUALITY,
 }

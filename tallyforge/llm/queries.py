@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import sharding, urls, warc
+from tallyforge.llm import quality, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,14 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document's text."""
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
     "op3_url_filter": op3_url_filter,
+    "op4_quality": op4_quality,
 }
