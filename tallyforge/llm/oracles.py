@@ -80,7 +80,7 @@ WITH texts AS (
     coalesce(n, 0) AS n_repeat_words,
     len(lines) AS n_lines,
     length(text) - length(replace(text, '!', '')) AS n_exclamations,
-    len(list_filter(words, lambda w: trim(lower(w), '.,;:!?"''()|') IN ({_STOP}))) AS n_stop_words,
+    len(list_filter(words, lambda w: lower(w) IN ({_STOP}))) AS n_stop_words,
     len(list_filter(lines, lambda l: l LIKE '%...' OR l LIKE '%…')) AS n_ellipsis_lines,
     len(list_filter(lines, lambda l: regexp_matches(l, '^[\\x20\\x09-\\x0D]*[-*•]'))) AS n_bullet_lines
   FROM split LEFT JOIN covered USING (nr)

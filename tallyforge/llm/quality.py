@@ -58,15 +58,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words_of(text: Column) -> Column:
     """Maximal runs of characters other than U+0020 and U+0009 to U+000D; none for null."""
-    spaces = F.lit(" \t\n\x0b\x0c\r")
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), spaces)
-    return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, f"[{SPACE}]+")
+    flat = F.coalesce(text, F.lit(""))
+    for space in "\n\t\r\x0b\x0c":
+        flat = F.replace(flat, F.lit(space), F.lit(" "))
+    # One plain character to split at needs no regular expression; only runs leave empty pieces.
+    return let(
+        F.btrim(flat),
+        lambda line: F.when(F.length(line) == 0, F.array().cast("array<string>"))
+        .when(F.contains(line, F.lit("  ")), F.filter(F.split(line, " "), lambda w: w != ""))
+        .otherwise(F.split(line, " ")),
     )
 
 
 def _covered(windows: Column, width: int) -> Column:
-    """Positions inside the windows (of ``width`` words, one per start) that occur more than once."""
+    """Number of words inside windows (hashes, one per start, ``width`` words each) that occur more than once."""
     placed = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
 
     def repeated(sorted_: Column) -> Column:
@@ -97,9 +102,10 @@ def repeated_words(words: Column, width: int = 3) -> Column:
     """Words inside ``width``-word windows that occur twice or more, the first time included."""
     windows = F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - (width - 1), F.lit(0))),
-        lambda x, i: F.concat_ws(" ", x, *[F.get(words, i + k) for k in range(1, width)]),
+        lambda x, i: F.xxhash64(x, *[F.get(words, i + k) for k in range(1, width)]),
     )
-    # Most texts repeat nothing: a hash set tells, and only the others are sorted.
+    # Windows are compared by 64-bit hashes.  Most short texts repeat nothing: a hash set tells, and
+    # only the others are sorted.
     return let(
         windows,
         lambda v: F.when(F.size(F.array_distinct(v)) == F.size(v), 0).otherwise(_covered(v, width)),
@@ -122,7 +128,7 @@ def measures(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
             "n_lines": F.size(kept),
             "n_exclamations": F.length(known) - F.length(F.regexp_replace(known, "!", "")),
             "n_stop_words": F.size(
-                F.filter(words, lambda w: F.btrim(F.lower(w), F.lit(".,;:!?\"'()|")).isin(stop))
+                F.filter(words, lambda w: F.lower(w).isin(stop))
             ),
             "n_ellipsis_lines": F.size(F.filter(kept, lambda line: line.endswith("...") | line.endswith("…"))),
             "n_bullet_lines": F.size(F.filter(kept, lambda line: line.rlike(f"^[{SPACE}]*[-*•]"))),
