@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import quality, sharding
+from tallyforge.llm import mixing, packing, quality, sharding
 
 _SHARDS, _SIZE = len(sharding.SHARDS), sharding.TABLE_SIZE
 
@@ -97,8 +97,90 @@ SELECT doc_id, n_words::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS wo
 FROM judged
 """
 
+PACKING = f"""
+WITH RECURSIVE counted AS (
+  SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> '')) AS n FROM documents
+), cut AS (
+  SELECT doc_id, piece, least(n - piece * {packing.MAX_TOKENS}, {packing.MAX_TOKENS}) AS n_tokens
+  FROM (SELECT doc_id, n, unnest(range(greatest(1, (n + {packing.MAX_TOKENS} - 1) // {packing.MAX_TOKENS}))) AS piece
+        FROM counted)
+), ends AS (
+  SELECT row_number() OVER (ORDER BY len) AS j, len, sum(c) OVER (ORDER BY len) AS upto
+  FROM (SELECT greatest(n_tokens, 1) AS len, count(*) AS c FROM cut GROUP BY 1)
+), best AS (
+  SELECT 1 AS k, j, (len * upto)::HUGEINT AS size, [len] AS path FROM ends
+  UNION ALL
+  SELECT k + 1, e.j, min(best.size + e.len * (e.upto - p.upto))::HUGEINT,
+    arg_min(list_append(best.path, e.len), row(best.size + e.len * (e.upto - p.upto), p.j))
+  FROM best JOIN ends p ON p.j = best.j JOIN ends e ON e.j > p.j
+  WHERE k < {packing.BUCKETS} GROUP BY k, e.j
+), buckets AS (
+  SELECT unnest(path) AS bucket_length, unnest(range(len(path))) AS bucket
+  FROM (SELECT path FROM best WHERE j = (SELECT max(j) FROM ends) ORDER BY k DESC LIMIT 1)
+), placed AS (
+  SELECT doc_id, piece, n_tokens, min(bucket) AS bucket, min(bucket_length) AS bucket_length
+  FROM (SELECT row_number() OVER () AS nr, * FROM cut) JOIN buckets ON greatest(n_tokens, 1) <= bucket_length
+  GROUP BY nr, doc_id, piece, n_tokens
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY bucket
+      ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, piece, n_tokens) - 1 AS rank,
+    greatest(1, {packing.TOKEN_BUDGET} // bucket_length) AS rows
+  FROM placed
+)
+SELECT doc_id, piece::BIGINT AS piece, n_tokens::BIGINT AS n_tokens, bucket::INTEGER AS bucket,
+  bucket_length::BIGINT AS bucket_length, (rank // rows)::BIGINT AS batch, (rank % rows)::BIGINT AS position,
+  (bucket_length - n_tokens)::BIGINT AS padding
+FROM numbered
+"""
+
+_UNITS = [*mixing.TARGET_UNITS.values(), mixing.OTHER_UNITS]
+_POOLS = ", ".join(f"'{name}'" for name in [*mixing.TARGET_UNITS, mixing.OTHER])
+_EACH = f"range(1, {len(_UNITS) + 1})"
+# One row per slot; the lists hold, per pool, the blocks had in this phase, still to come, and had in all.
+MIXING = f"""
+WITH RECURSIVE pooled AS (
+  SELECT doc_id, source, coalesce(list_position([{_POOLS}], source), {len(_UNITS)}) AS pool FROM documents
+), ranks AS (
+  SELECT *, row_number() OVER (PARTITION BY pool
+    ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, source) - 1 AS rank FROM pooled
+), sizes AS (
+  SELECT list(coalesce(n, 0)::BIGINT ORDER BY i) AS blocks
+  FROM (SELECT unnest({_EACH}) AS i)
+  LEFT JOIN (SELECT pool AS i, (count(*) + {mixing.BLOCK_ROWS - 1}) // {mixing.BLOCK_ROWS} AS n
+             FROM pooled GROUP BY pool) USING (i)
+), state AS (
+  SELECT 0::BIGINT AS slot, 0::BIGINT AS slot0, list_transform({_EACH}, lambda i: 0::BIGINT) AS had, blocks AS todo,
+    list_transform({_EACH}, lambda i: 0::BIGINT) AS done,
+    NULL::BIGINT AS pool, NULL::BIGINT AS block, NULL::BIGINT AS release, NULL::BIGINT AS deadline
+  FROM sizes
+  UNION ALL
+  SELECT slot + 1, CASE WHEN todo[pick] = 1 THEN slot + 1 ELSE slot0 END,
+    CASE WHEN todo[pick] = 1 THEN list_transform({_EACH}, lambda i: 0::BIGINT)
+         ELSE list_transform({_EACH}, lambda i: had[i] + (i = pick)::BIGINT) END,
+    list_transform({_EACH}, lambda i: todo[i] - (i = pick)::BIGINT),
+    list_transform({_EACH}, lambda i: done[i] + (i = pick)::BIGINT),
+    pick, done[pick], slot0 + had[pick] * period // units[pick],
+    slot0 + ((had[pick] + 1) * period + units[pick] - 1) // units[pick]
+  FROM (
+    SELECT *, list_min(list_transform(list_filter({_EACH},
+        lambda i: todo[i] > 0 AND had[i] * period // units[i] <= slot - slot0),
+        lambda i: ((had[i] + 1) * period + units[i] - 1) // units[i] * 1000 + i)) % 1000 AS pick
+    FROM (
+      SELECT *, list_sum(list_transform({_EACH}, lambda i: units[i] * (todo[i] > 0)::BIGINT))::BIGINT AS period
+      FROM (SELECT slot, slot0, had, todo, done, {_UNITS}::BIGINT[] AS units FROM state WHERE list_max(todo) > 0)
+    )
+  )
+)
+SELECT doc_id, source, [{_POOLS}][r.pool] AS pool, s.block, s.release, s.deadline, s.slot - 1 AS slot,
+  (rank % {mixing.BLOCK_ROWS})::INTEGER AS place
+FROM ranks r JOIN state s ON s.pool = r.pool AND s.block = rank // {mixing.BLOCK_ROWS}
+"""
+
 ORACLES: dict[str, str] = {
     "op1_sharding": SHARDING,
     "op2_warc": WARC,
     "op4_quality": QUALITY,
+    "op7_packing": PACKING,
+    "op8_mixing": MIXING,
 }

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm import quality, sharding, urls, warc
+from tallyforge.llm import mixing, packing, quality, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,9 +38,21 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and position of every document's pieces; a token is a word here."""
+    return packing.pack(table(spark, sf_dir, "documents"), F.size(quality.words_of(F.col("text"))))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot of every document in the mix of sources."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
+    "op7_packing": op7_packing,
+    "op8_mixing": op8_mixing,
 }
