@@ -177,10 +177,46 @@ SELECT doc_id, source, [{_POOLS}][r.pool] AS pool, s.block, s.release, s.deadlin
 FROM ranks r JOIN state s ON s.pool = r.pool AND s.block = rank // {mixing.BLOCK_ROWS}
 """
 
+# Exact: every pair that shares a shingle is counted on full sets; components by repeated minima.
+NEAR_DUPLICATES = """
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS nr, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT nr, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1),
+      lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
+  FROM texts
+), classes AS (
+  SELECT list_sort(shingles) AS shingles, min(doc_id) AS node FROM sets WHERE len(shingles) > 0 GROUP BY 1
+), items AS (
+  SELECT node, len(shingles) AS n, unnest(shingles) AS s FROM classes
+), pairs AS (
+  SELECT a.node AS a, b.node AS b FROM items a JOIN items b ON a.s = b.s AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT node, node AS other FROM classes
+  UNION
+  SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other
+), component AS (
+  SELECT node, min(other) AS component FROM reach GROUP BY node
+)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(component, s.doc_id) AS component_id,
+  s.doc_id = coalesce(component, s.doc_id) AS kept
+FROM sets s
+LEFT JOIN classes c ON list_sort(s.shingles) = c.shingles
+LEFT JOIN component USING (node)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_sharding": SHARDING,
     "op2_warc": WARC,
     "op4_quality": QUALITY,
     "op7_packing": PACKING,
     "op8_mixing": MIXING,
+    "op10_near_duplicates": NEAR_DUPLICATES,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm import mixing, packing, quality, sharding, urls, warc
+from tallyforge.llm import mixing, neardup, packing, quality, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles are alike to 85 percent."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
@@ -55,4 +60,5 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op10_near_duplicates": op10_near_duplicates,
 }
