@@ -212,11 +212,64 @@ LEFT JOIN classes c ON list_sort(s.shingles) = c.shingles
 LEFT JOIN component USING (node)
 """
 
+# A lane is the number of paragraphs whose digest has its bit, modulo 2^19; three lanes make a long.
+_DOT = "list_sum(list_transform(range(1, 181), lambda i: {0}[i] * {1}[i]))::BIGINT"
+_NEAR = (
+    "CASE WHEN {0}.n = {1}.n AND {0}.lanes = {1}.lanes THEN 1.0 WHEN " + _DOT.format("{0}.signed", "{1}.signed")
+    + " <= 0 THEN 0.0 ELSE round(least(" + _DOT.format("{0}.signed", "{1}.signed") + " / ("
+    + _DOT.format("{0}.signed", "{0}.signed") + " + " + _DOT.format("{1}.signed", "{1}.signed") + " - "
+    + _DOT.format("{0}.signed", "{1}.signed") + "), 1.0), 6) END::DOUBLE"
+)
+FINGERPRINTS = f"""
+WITH texts AS (
+  SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST, text) AS nr, doc_id, text
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+), paired AS (
+  SELECT a.*, b.nr AS next_nr, b.text AS next_text
+  FROM texts a JOIN texts b ON b.nr = a.nr % (SELECT count(*) FROM texts) + 1
+), edits AS (
+  SELECT nr, doc_id, text, next_nr,
+    substr(text, 1, length(text) - length(text) // 3) || substr(next_text, 1, length(text) // 3) AS edited
+  FROM paired
+), both_kinds AS (
+  SELECT nr, 0 AS kind, text AS body FROM edits UNION ALL SELECT nr, 1, edited FROM edits
+), units AS (
+  SELECT nr, kind, sha256(unit) AS h
+  FROM (SELECT nr, kind, unnest(string_split(regexp_replace(body, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))) AS unit
+        FROM both_kinds)
+  WHERE trim(unit, ' ') <> ''
+), counts AS (
+  SELECT nr, kind, g, count(*) AS n, [sum(('0x' || substr(h, (15 * (g // 20) + 1)::INTEGER, 15))::BIGINT >> (g % 20 + 20 * 0) & 1),
+    sum(('0x' || substr(h, (15 * (g // 20) + 1)::INTEGER, 15))::BIGINT >> (g % 20 + 20 * 1) & 1),
+    sum(('0x' || substr(h, (15 * (g // 20) + 1)::INTEGER, 15))::BIGINT >> (g % 20 + 20 * 2) & 1)] AS ones
+  FROM units, range(60) t(g) GROUP BY nr, kind, g
+), found AS (
+  SELECT nr, kind, any_value(n) AS n, flatten(list(list_transform(ones, lambda c: c::BIGINT) ORDER BY g)) AS lanes
+  FROM counts GROUP BY nr, kind
+), prints AS (
+  SELECT nr, kind, coalesce(n, 0) AS n, coalesce(lanes, list_transform(range(180), lambda i: 0::BIGINT)) AS lanes
+  FROM both_kinds LEFT JOIN found USING (nr, kind)
+), signed AS (
+  SELECT *, list_transform(lanes, lambda c: 2 * c - n) AS signed,
+    n::VARCHAR || ':' || array_to_string(list_transform(range(60), lambda g: to_hex((lanes[3 * g + 1] % 524288)
+      + ((lanes[3 * g + 2] % 524288) << 20) + ((lanes[3 * g + 3] % 524288) << 40))), '.') AS print
+  FROM prints
+)
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+  own.print AS fingerprint, ed.print AS edited_fingerprint,
+  {_NEAR.format("own", "ed")} AS near_edited, {_NEAR.format("own", "nxt")} AS near_next
+FROM edits
+JOIN signed own ON own.nr = edits.nr AND own.kind = 0
+JOIN signed ed ON ed.nr = edits.nr AND ed.kind = 1
+JOIN signed nxt ON nxt.nr = edits.next_nr AND nxt.kind = 0
+"""
+
 ORACLES: dict[str, str] = {
     "op1_sharding": SHARDING,
     "op2_warc": WARC,
     "op4_quality": QUALITY,
     "op7_packing": PACKING,
     "op8_mixing": MIXING,
+    "op9_fingerprints": FINGERPRINTS,
     "op10_near_duplicates": NEAR_DUPLICATES,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm import mixing, neardup, packing, quality, sharding, urls, warc
+from tallyforge.llm import fingerprint, mixing, neardup, packing, quality, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
@@ -60,5 +65,6 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
 }
