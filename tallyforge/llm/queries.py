@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm import fingerprint, mixing, neardup, packing, quality, sharding, urls, warc
+from tallyforge.llm import fingerprint, mixing, neardup, packing, pii, quality, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,11 +58,17 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document's text."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
+    "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
