@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm import fingerprint, mixing, neardup, packing, pii, quality, sharding, urls, warc
+from tallyforge.llm import fingerprint, mixing, neardup, packing, pii, quality, secrets, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,11 +63,17 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every secret-like run in every document's text."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
+    "op5_secrets": op5_secrets,
     "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
