@@ -369,8 +369,11 @@ def near_duplicates(
     # Links between components name components: what is not linked further keeps its own.
     later = between.select(F.col("node").alias("component"), F.col("component").alias("final"))
     nodes = classes.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named_classes = nodes.join(later, "component", "left").select(
-        "set_key", F.coalesce("final", "component").alias("component_id")
+    # Written, so that the last join can split a class that very many documents share.
+    named_classes = stored(
+        nodes.join(later, "component", "left").select(
+            "set_key", F.coalesce("final", "component").alias("component_id")
+        )
     )
     return (
         described.select("doc_id", "n_shingles", "set_key")
