@@ -141,3 +141,19 @@ def mix(
         (F.col("_rank") % block_rows).cast("int").alias("place"),
         *([] if carry is None else ["carried"]),
     )
+
+
+def interleave(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    units: Mapping[str, int] = TARGET_UNITS,
+    other_units: int = OTHER_UNITS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """All rows of ``docs``, columns as they are, in the mixed order: written, its files follow one another."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    mixed = mix(docs, doc_id, source, units, other_units, block_rows, carry=row)
+    order = ["slot", "place"]
+    parts = shuffle_partitions(docs.sparkSession)
+    return mixed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("carried.*")

@@ -381,3 +381,28 @@ def near_duplicates(
         .withColumn("component_id", F.when(F.col("classed"), F.col("component_id")).otherwise(F.col("doc_id")))
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
+
+
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, miss: float = MISS
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their group, all columns as they are.
+
+    Of rows that repeat both id and text one stays.  Rows with a null id stay unless a row with an id
+    is alike; of such rows with equal texts one stays.
+    """
+    kept = (
+        near_duplicates(docs, doc_id, text, width, percent, miss)
+        .where("kept")
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(f"`{doc_id}`").cast("long").alias("_id"),
+        F.col(f"`{text}`").cast("string").alias("_text"),
+    )
+    same = rows["_id"].eqNullSafe(kept["_id"])
+    repeated = F.when(kept["_rows"] > 1, F.sha2(F.coalesce("_text", F.lit("")), 256)).otherwise("")
+    chosen = rows.join(kept, same).select(rows["_id"], repeated.alias("_text"), "_row")
+    return chosen.dropDuplicates(["_id", "_text"]).select("_row.*")

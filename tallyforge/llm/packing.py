@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.llm.common import digest_block, ranked, shuffle_partitions, stored
@@ -117,3 +118,13 @@ def pack(
         (F.col("_rank") % rows_per_batch).cast("long").alias("position"),
         (bucket_length - F.col("n_tokens")).alias("padding"),
     )
+
+
+def written_order(docs: DataFrame) -> tuple[Column, Column] | None:
+    """Number of the file and place in it of every row of a Parquet table as read; None for other tables."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return None
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1)
+    return F.coalesce(number.try_cast("int"), F.lit(0)), F.col("_metadata.row_index")
