@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyforge.functions.entities import decode_entities
 from tallyforge.functions.escape import escape_non_ascii as escape_text
 
-# Character sets, written as the inside of a bracket expression.
+# What separates tokens: the characters that count as white space in text.
 SPACE = (
     r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -20,40 +20,49 @@ LETTER = r"\p{L}"
 DIGIT = r"\p{Nd}"
 NAME = r"\p{L}\p{N}_"  # letters, numbers, underscore in any script
 
-# What counts as the eyes, nose, mouth and brow of an emoticon.
-EYES = r"[:;=8]"
-NOSE = r"[-oO*']?"
-MOUTH = r"[()\[\]{}dDpP/:@|\\]"
-BROW = r"[<>]?"
+# The characters an emoticon is made of, and those a URL may hold besides a-z and 0-9.
+BROWS = "<>"
+EYES = ":;=8"
+NOSES = "'*-Oo"
+MOUTHS = "()/:@DP[\\]dp{|}"
+URL_SIGNS = "!$%&'()*+,-./:;<=>?@ABCDEFGHIJKLMNOPQRSTUVWXYZ[\\]^_"
 
 
-def _emoticon() -> str:
-    upright = BROW + EYES + NOSE + MOUTH
-    mirrored = MOUTH + NOSE + EYES + BROW
-    return f"{upright}|{mirrored}"
+def one_of(characters: str) -> str:
+    """A bracket expression for exactly these characters."""
+    return "[" + "".join("\\" + c if c in "[]\\^-" else c for c in characters) + "]"
 
 
-def _phone() -> str:
-    gap = f"[-.{SPACE}]*"
-    country = rf"(?:\+?[01]{gap})?"
-    area = rf"(?:\(?{DIGIT}{{3}}[-.){SPACE}]*)?"
-    return f"{country}{area}{DIGIT}{{3}}{gap}{DIGIT}{{4}}"
+def joined(piece: str, marks: str, least: int = 1) -> str:
+    """``piece`` repeated with one or more of ``marks`` in between, ``least`` times or more after the first."""
+    more = "*" if least == 0 else "+"
+    return f"{piece}(?:{marks}+{piece}){more}"
 
 
-EMOTICON = _emoticon()
-URL = r"[hH][tT][tT][pP][sS]?://[!$-_a-z]+"  # $-_ spans digits, capitals and most URL signs
+FACE = [one_of(BROWS) + "?", one_of(EYES), one_of(NOSES) + "?", one_of(MOUTHS)]
+EMOTICON = "".join(FACE) + "|" + "".join(reversed(FACE))
+URL = f"[hH][tT][tT][pP][sS]?://[a-z0-9{one_of(URL_SIGNS)[1:]}+"
+
+# A phone number is known by how many digits its run has, not by where its gaps are: 7 to 15 after a
+# plus or an opening bracket.  Without such a mark it needs gaps between the last groups, of three and
+# four digits, so that years, prices and counts stay what they are.
+GAP = f"[-.(){SPACE}]"
+MARKED = rf"[+(](?:{GAP}{{0,2}}{DIGIT}){{7,15}}"
+GROUPED = rf"(?:{DIGIT}{GAP}{{1,2}})?(?:{DIGIT}{{3}}{GAP}{{1,2}}){{1,2}}{DIGIT}{{4}}"
 
 CLASSES = {
-    "phone": _phone(),
+    "phone": f"{MARKED}|{GROUPED}",
     "url": URL,
     "emoticon": EMOTICON,
-    "tag": r"<[^>]+>",
+    "tag": "<[^>]+>",
     "user": f"@[{NAME}]+",
-    "topic": rf"#+[{NAME}][{NAME}'-]*[{NAME}]",
-    "joined_word": f"{LETTER}[{LETTER}_'-]+{LETTER}",
-    "number": rf"[+-]?{DIGIT}+[-,/.:]{DIGIT}+[+-]?",
+    "topic": "#" + joined(f"[{NAME}]+", "['-]", 0),
+    # Letters, at least three characters with the marks between them.
+    "joined_word": f"{LETTER}{{3,}}(?:['_-]+{LETTER}+)*|{LETTER}{{1,2}}(?:['_-]+{LETTER}+)+",
+    # Fractions, decimals, times and ratios, of any number of parts.
+    "number": "[+-]?" + joined(f"{DIGIT}+", "[,./:]"),
     "word": f"[{NAME}]+",
-    "ellipsis": rf"\.[.{SPACE}]*\.",
+    "ellipsis": rf"\.(?:[{SPACE}]*\.)+",
     "other": f"[^{SPACE}]",
 }
 

@@ -41,6 +41,27 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(line.alias("value"))
 
 
+# Endings with the token classes that the conversations themselves lack.
+ENDINGS = (
+    "See HTTP://Host.Example.COM/Path?A=b&C=d now",
+    "#Topic ##two-words #x it's O'Neill-like",
+    "wait... . . really .. no.",
+    "call +1 (555) 123-4567, 555.123.4567 or 123-4567; not 2024-2025",
+    ":-D =P (: XD <:o) 8*)",
+    "caf&#233; &#8364;5 &amp;c &eacute;t&#201; &#38;lt;",
+    "1/2 3.14 10:30 -5,2 1,234.56 192.0.2.1",
+    "<B CLASS='Big'>Bold</B> @User_1 &lt;I&gt;",
+)
+
+
+def rich_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations, each turn with an ending chosen by its numbers."""
+    chosen = F.pmod(F.col("conv_id") * 31 + F.col("turn"), F.lit(len(ENDINGS)))
+    ending = F.element_at(F.array(*[F.lit(e) for e in ENDINGS]), (chosen + 1).cast("int"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), ending)
+    return table(spark, sf_dir, "conversations").select("conv_id", text.alias("text"))
+
+
 def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as posts of 97 users."""
     documents = texts(spark, sf_dir, "documents")

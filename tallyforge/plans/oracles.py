@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from tallyforge.functions import tokens
 from tallyforge.functions.draws import PRIME, cubic
 from tallyforge.functions.text import BLANKS, PUNCTUATION
+from tallyforge.plans.inputs import ENDINGS
 from tallyforge.plans.queries import K, MIN_USERS, RUNS, SEED, SPLIT_SEED, STEPS
 from tallyforge.sources.numeric import COVER_NAMES
 
@@ -75,15 +75,40 @@ def decoded(text: str, amp: bool = True) -> str:
     return f"replace({name}, '&amp;', ' and ')" if amp else name
 
 
+# The token classes once more, written out by hand rather than taken from the library.
+_BLANK = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_FACES = r"[<>]?[:;=8]['*\-Oo]?[()/:@DP\[\\\]dp{|}]|[()/:@DP\[\\\]dp{|}]['*\-Oo]?[:;=8][<>]?"
+_ADDRESS = r"(?i:http|https)://[!$-_a-z]+"
+_PATTERN = "|".join(
+    [
+        rf"[+(](?:[-.(){_BLANK}]?[-.(){_BLANK}]?\p{{Nd}}){{7,15}}",
+        rf"(?:\p{{Nd}}[-.(){_BLANK}]{{1,2}})?\p{{Nd}}{{3}}[-.(){_BLANK}]{{1,2}}(?:\p{{Nd}}{{3}}[-.(){_BLANK}]{{1,2}})?\p{{Nd}}{{4}}",
+        _ADDRESS,
+        _FACES,
+        r"<[^>]+>",
+        r"@[\p{L}\p{N}_]+",
+        r"#[\p{L}\p{N}_]+(?:['-]+[\p{L}\p{N}_]+)*",
+        r"\p{L}[\p{L}'_-]+\p{L}",
+        r"[+-]?\p{Nd}+(?:[,./:]+\p{Nd}+)+",
+        r"[\p{L}\p{N}_]+",
+        rf"\.[.{_BLANK}]*\.",
+        rf"[^{_BLANK}]",
+    ]
+)
+
+
 def token_rows(table: str, text: str, keys: str = "") -> str:
-    folded = f"""CASE WHEN regexp_full_match(t, {quoted(tokens.EMOTICON)})
-        OR regexp_matches(t, {quoted(tokens.URL)}) THEN t ELSE lower(t) END"""
+    folded = f"""CASE WHEN regexp_full_match(t, {quoted(_FACES)})
+        OR regexp_matches(t, {quoted(_ADDRESS)}) THEN t ELSE lower(t) END"""
     return f"""
         SELECT {keys} {folded} AS token FROM (
-            SELECT {keys} unnest(regexp_extract_all({decoded(text)}, {quoted(tokens.TOKEN)}, 0)) AS t
+            SELECT {keys} unnest(regexp_extract_all({decoded(text)}, {quoted(_PATTERN)}, 0)) AS t
             FROM {table})"""
 
 
+RICH = f"""(SELECT conv_id, coalesce(text, '') || ' ' ||
+    [{", ".join(quoted(e) for e in ENDINGS)}][(conv_id * 31 + turn) % {len(ENDINGS)} + 1] AS text FROM conversations)"""
+
 ESCAPED = """
     SELECT conv_id, turn, CASE WHEN NOT regexp_matches(text, '[^\\x{00}-\\x{7F}]') THEN text ELSE
         array_to_string(list_transform(regexp_extract_all(hex(text), '..', 0),
@@ -520,6 +545,8 @@ ORACLES: dict[str, str] = {
         event_type AS text, count(*) AS n FROM events GROUP BY ALL""",
     "tokens_extract": f"""SELECT conv_id, token, count(*) AS n
         FROM ({token_rows("conversations", "text", "conv_id,")}) GROUP BY ALL""",
+    "tokens_rich": f"""SELECT conv_id, token, count(*) AS n
+        FROM ({token_rows(RICH, "text", "conv_id,")}) GROUP BY ALL""",
     "tokens_markup": f"SELECT token, count(*) AS n FROM ({token_rows('pages', 'html')}) GROUP BY 1",
     "entities_decoded": f"SELECT page_id, {decoded('html')} AS decoded FROM pages",
     "text_escaped": ESCAPED,

@@ -91,6 +91,11 @@ def tokens_extract(spark, sf_dir):
     return rows.groupBy("conv_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def tokens_rich(spark, sf_dir):
+    rows = tokens_.explode_tokens(inputs.rich_messages(spark, sf_dir), ["conv_id"], "text")
+    return rows.groupBy("conv_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def tokens_markup(spark, sf_dir):
     rows = tokens_.explode_tokens(inputs.texts(spark, sf_dir, "pages"), [], "html")
     return rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -469,7 +474,7 @@ QUERIES: dict[str, Query] = {
         for f in (
             ngram_top5_all, ngram5_punct_deleted_top100, ngram_counts_n2,
             json_valid_posts, json_distinct_users, posts_per_group, posts_right_outer,
-            tokens_extract, tokens_markup, entities_decoded, text_escaped,
+            tokens_extract, tokens_rich, tokens_markup, entities_decoded, text_escaped,
             token_users_total, token_vocabulary, token_popular_top20, token_group_counts,
             token_relative_popularity_top10,
             class_distribution, class_distribution_named, hash_sample_split,

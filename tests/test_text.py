@@ -91,9 +91,12 @@ CASES = [
     ("see HTTP://Ex.com/A?b=C&d#frag", ["see", "HTTP://Ex.com/A?b=C&d", "#frag"]),
     (":-D =P (: XD", [":-D", "=P", "(:", "xd"]),
     ("<b>Bold</b> <A HREF='http://X.y/Z'>", ["<b>", "bold", "</b>", "<A HREF='http://X.y/Z'>"]),
-    ("@User_1 ##Tag #a", ["@user_1", "##tag", "#", "a"]),
+    ("@User_1 ##Tag #a #a-b' 5#", ["@user_1", "#", "#tag", "#a", "#a-b", "'", "5", "#"]),
     ("Don't e-mail x-", ["don't", "e-mail", "x", "-"]),
-    ("1/2 3.14 10:30 -5,2", ["1/2", "3.14", "10:30", "-5,2"]),
+    ("1/2 3.14 10:30 -5,2 1,234.56 3-4", ["1/2", "3.14", "10:30", "-5,2", "1,234.56", "3", "-", "4"]),
+    ("555 123 4567, 123-4567 +49.30.1234567", ["555 123 4567", ",", "123-4567", "+49.30.1234567"]),
+    ("2024-2025 5551234 (12) 1-2", ["2024", "-", "2025", "5551234", "(", "12", ")", "1", "-", "2"]),
+    ("abc1 ab1 a_b _a ' x", ["abc", "1", "ab1", "a_b", "_a", "'", "x"]),
     ("wait... . . hi § .", ["wait", "... . .", "hi", "§", "."]),
     ("Étion l’été ÉCOLE's", ["étion", "l", "’", "été", "école's"]),
     ("ok 🎉 fine", ["ok", "🎉", "fine"]),
