@@ -36,6 +36,7 @@ class ClusterRuns:
     iterations: int = 0
     shift: float = 0.0
     shifts: list[float] = field(default_factory=list)
+    converged: bool = False
 
     @property
     def runs(self) -> int:
@@ -188,12 +189,15 @@ def update(points: DataFrame, centers: np.ndarray) -> np.ndarray:
 
 
 def lloyd(
-    points: DataFrame, centers: np.ndarray, tolerance: float = 0.1, max_iterations: int = 300
+    points: DataFrame, centers: np.ndarray, tolerance: float = 0.1, max_iterations: int | None = None
 ) -> ClusterRuns:
-    """Rounds until no run moves its centres by more than ``tolerance`` in sum."""
+    """Rounds until no run moves its centres by more than ``tolerance`` in sum.
+
+    There is no limit unless one is given; where it ends the rounds early, ``converged`` stays False.
+    """
     result = ClusterRuns(centers)
     started = time.time()
-    while result.iterations < max_iterations:
+    while max_iterations is None or result.iterations < max_iterations:
         moved = update(points, result.centers)
         result.shift = float(np.sqrt(_squares(moved - result.centers)).sum(axis=1).max())
         result.shifts.append(result.shift)
@@ -205,6 +209,7 @@ def lloyd(
             )
             started = time.time()
         if result.shift <= tolerance:
+            result.converged = True
             break
     return result
 
@@ -215,7 +220,7 @@ def kmeans(
     runs: int = 25,
     seed: int = 60295531,
     tolerance: float = 0.1,
-    max_iterations: int = 300,
+    max_iterations: int | None = None,
 ) -> ClusterRuns:
     """Seeding and rounds for ``runs`` independent starts; points are cached meanwhile."""
     cached = points.persist(StorageLevel.MEMORY_AND_DISK)
@@ -227,13 +232,13 @@ def kmeans(
 
 
 def centers_table(spark: SparkSession, result: ClusterRuns) -> DataFrame:
-    """``run, k, center``."""
+    """``run, k, center, converged``: whether the rounds ended by themselves."""
     rows = [
-        (run, k, result.centers[run, k].tolist())
+        (run, k, result.centers[run, k].tolist(), result.converged)
         for run in range(result.runs)
         for k in range(result.k)
     ]
-    return spark.createDataFrame(rows, "run int, k int, center array<double>")
+    return spark.createDataFrame(rows, "run int, k int, center array<double>, converged boolean")
 
 
 def assign(points: DataFrame, centers: np.ndarray) -> DataFrame:

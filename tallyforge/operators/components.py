@@ -19,13 +19,14 @@ from tallyforge.functions.vectors import list_column, matrix
 from tallyforge.joins import join_small, table_bytes
 from tallyforge.session import materialise
 
-MODEL_BYTES = 256 * 1024 * 1024
-OPEN_MEASURES = 8  # measures whose sums a task holds before it passes them on
+MODEL_BYTES = 32 * 1024 * 1024
+OPEN_BYTES = 64 * 1024 * 1024  # sums that a task holds before it passes them on
+SALTS = 32
 
 
 def _measures(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
     """Rows of each measure within one batch."""
-    coded = batch.column("measurement").dictionary_encode()
+    coded = batch.column("measurement").dictionary_encode(null_encoding="encode")
     codes = coded.indices.to_numpy()
     for code, name in enumerate(coded.dictionary.to_pylist()):
         yield name, np.flatnonzero(codes == code)
@@ -56,12 +57,19 @@ def _with_models(rows: DataFrame, models: DataFrame):
     fields = [f for f in models.columns if f != "measurement"]
     local = _local_models(models)
     if local is None:
-        joined = rows.join(models, "measurement")
+        # A few measures hold all rows: each is spread over several tasks by a hash of the vector.
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64("values"), F.lit(SALTS)).cast("int"))
+        copies = models.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same = salted["measurement"].eqNullSafe(copies["measurement"]) & (salted["_salt"] == copies["_salt"])
+        joined = salted.join(copies, same).drop(copies["measurement"]).drop("_salt")
         return joined, lambda batch, name, at, field: np.asarray(batch.column(field)[at].as_py())
     shared = rows.sparkSession.sparkContext.broadcast(
         {name: {f: np.asarray(row[f]) for f in fields} for name, row in local.items()}
     )
-    known = rows.where(F.col("measurement").isin(list(local)))
+    known = rows.where(
+        F.col("measurement").isin([name for name in local if name is not None])
+        | (F.col("measurement").isNull() & F.lit(None in local))
+    )
     return known, lambda batch, name, at, field: shared.value[name][field]
 
 
@@ -107,7 +115,8 @@ def covariance_sums(
                     for total, more in zip(sums[name], part):
                         total += more
                 else:
-                    if len(sums) >= OPEN_MEASURES:
+                    held = sum(p.nbytes for parts in (*sums.values(), part) for p in parts)
+                    if sums and held > OPEN_BYTES:
                         yield from flush(sums)
                         sums = {}
                     sums[name] = part

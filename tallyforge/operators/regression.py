@@ -6,12 +6,15 @@ features and targets per set, and every model is solved from that small table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 REPORT = (
@@ -21,21 +24,37 @@ REPORT = (
 
 
 def moments(df: DataFrame, columns: Sequence[str], set_column: str) -> DataFrame:
-    """``set, n, pivot, cross``: sums of products of (1, columns...) per set, shifted by the first
-    row so that large means cost no digits.  Rows with a null or NaN in any column are left out.
+    """``set, pivot, cross``: sums of products of (1, columns...) per set, shifted by the columns'
+    means so that large means cost no digits.  Rows with a null or NaN in any column are left out.
 
-    All sums are built-in aggregates with partial results per task: one row per set and task
-    crosses the exchange.
+    A task multiplies its rows as a matrix and passes on one row per set, whatever the number of
+    columns; Spark adds those up.
     """
-    rows = df.select(set_column, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=list(columns))
-    first = rows.select(*columns).limit(1).first()
-    pivot = [float(first[c]) for c in columns] if first else [0.0] * len(columns)
-    terms = [F.lit(1.0)] + [F.col(c) - F.lit(p) for c, p in zip(columns, pivot)]
-    size = len(terms)
-    sums = [F.sum(terms[i] * terms[j]).alias(f"s{i}_{j}") for i in range(size) for j in range(i, size)]
-    cross = F.array(*[F.col(f"s{min(i, j)}_{max(i, j)}") for i in range(size) for j in range(size)])
-    return rows.groupBy(F.col(set_column).alias("set")).agg(*sums).select(
-        "set", F.array(*map(F.lit, pivot)).alias("pivot"), cross.alias("cross")
+    columns = list(columns)
+    rows = df.select(
+        F.col(set_column).cast("string").alias("set"), *[F.col(c).cast("double").alias(c) for c in columns]
+    ).dropna(subset=columns)
+    means = rows.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    pivot = np.array([means[c] or 0.0 for c in columns])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            codes = coded.indices.to_numpy()
+            shifted = [batch.column(i + 1).to_numpy(zero_copy_only=False) - p for i, p in enumerate(pivot)]
+            terms = np.column_stack([np.ones(batch.num_rows), *shifted])
+            for code, name in enumerate(coded.dictionary.to_pylist()):
+                own = terms[codes == code]
+                sums[name] = sums.get(name, 0.0) + own.T @ own
+        names = pa.array(list(sums), pa.string())
+        crosses = pa.array([cross.ravel() for cross in sums.values()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([names, crosses], names=["set", "cross"])
+
+    parts = rows.mapInArrow(add_up, "set string, cross array<double>")
+    total = vector_to_array(Summarizer.sum(array_to_vector("cross"))).alias("cross")
+    return parts.groupBy("set").agg(total).select(
+        "set", F.array(*[F.lit(float(p)) for p in pivot]).alias("pivot"), "cross"
     )
 
 

@@ -139,9 +139,9 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def projections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as a regression table: dimensions 1-4 as features, 5-13 as targets."""
+    """Embeddings as a regression table: dimensions 1-4 as features, all others as targets."""
     cols = [F.col("values")[i].alias(f"x{i + 1}") for i in range(4)]
-    cols += [F.col("values")[i + 4].alias(f"y{i + 1}") for i in range(9)]
+    cols += [F.col("values")[i + 4].alias(f"y{i + 1}") for i in range(60)]
     return vectors(spark, sf_dir).select("vec_id", *cols)
 
 

@@ -11,7 +11,7 @@ from html.entities import name2codepoint
 from tallyforge.functions.draws import PRIME, cubic
 from tallyforge.functions.text import BLANKS, PUNCTUATION
 from tallyforge.plans.inputs import ENDINGS
-from tallyforge.plans.queries import K, MIN_USERS, RUNS, SEED, SPLIT_SEED, STEPS
+from tallyforge.plans.queries import K, MIN_USERS, RUNS, SEED, SPLIT_SEED
 from tallyforge.sources.numeric import COVER_NAMES
 
 
@@ -307,9 +307,13 @@ def fixed_basis() -> str:
 # --- regression ------------------------------------------------------------------------------
 
 
-def regression(source: str, ids: tuple[str, ...], features: list[str], targets: list[str]) -> str:
+def regression(
+    source: str, ids: tuple[str, ...], features: list[str], targets: list[str], by: str = ""
+) -> str:
     """CTEs ``train``/``test`` (counts, means, centred sums) and one elimination chain per model;
-    the last CTE of model m is ``solved_m`` with columns b_<feature>_<target>."""
+    the last CTE of model m is ``solved_m`` with columns b_<feature>_<target>.  With ``by`` there is
+    one set of models for each of its values."""
+    key, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
     columns = features + targets
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:] if a in features or a == b]
     moments = ", ".join(
@@ -317,9 +321,9 @@ def regression(source: str, ids: tuple[str, ...], features: list[str], targets:
         + [f"covar_pop({a}, {b}) * count(*) AS s_{a}_{b}" for a, b in pairs]
     )
     ctes = [
-        f"rows_ AS (SELECT {', '.join(columns)}, {split_name(ids, 0.5)} AS set FROM ({source}))",
+        f"rows_ AS (SELECT {key}{', '.join(columns)}, {split_name(ids, 0.5)} AS set FROM ({source}))",
         *[
-            f"{name} AS (SELECT count(*) AS n, {moments} FROM rows_ WHERE set = '{name}')"
+            f"{name} AS MATERIALIZED (SELECT {key}count(*) AS n, {moments} FROM rows_ WHERE set = '{name}'{group})"
             for name in ("train", "test")
         ],
     ]
@@ -327,7 +331,7 @@ def regression(source: str, ids: tuple[str, ...], features: list[str], targets:
         use = [f for f in features if f != removed]
         cells = [(r, c) for r in use for c in use + targets]
         start = ", ".join(f"{product(columns, r, c)} AS e_{r}_{c}" for r, c in cells)
-        ctes.append(f"m{number}_0 AS (SELECT {start} FROM train)")
+        ctes.append(f"m{number}_0 AS (SELECT {key}{start} FROM train)")
         for step, pivot in enumerate(use):
             swept = ", ".join(
                 (
@@ -338,9 +342,9 @@ def regression(source: str, ids: tuple[str, ...], features: list[str], targets:
                 + f" AS e_{r}_{c}"
                 for r, c in cells
             )
-            ctes.append(f"m{number}_{step + 1} AS (SELECT {swept} FROM m{number}_{step})")
+            ctes.append(f"m{number}_{step + 1} AS (SELECT {key}{swept} FROM m{number}_{step})")
         solved = ", ".join(f"e_{f}_{t} AS b_{f}_{t}" for f in use for t in targets)
-        ctes.append(f"solved_{number} AS (SELECT {solved} FROM m{number}_{len(use)})")
+        ctes.append(f"solved_{number} AS (SELECT {key}{solved} FROM m{number}_{len(use)})")
     return "WITH " + ",\n".join(ctes)
 
 
@@ -364,28 +368,26 @@ def r2(name: str, columns: list[str], use: list[str], target: str) -> str:
     return f"(1 - ({total} - 2 * ({cross}) + ({square}) + {name}.n * ({shift}) ** 2) / {total})"
 
 
-PROJECTED = "SELECT vec_id, " + ", ".join(
-    [f"CAST(embedding[{i}] AS DOUBLE) AS x{i}" for i in range(1, 5)]
-    + [f"CAST(embedding[{i + 4}] AS DOUBLE) AS y{i}" for i in range(1, 10)]
-) + " FROM embeddings"
 XS = [f"x{i}" for i in range(1, 5)]
-YS = [f"y{i}" for i in range(1, 10)]
+# A row per vector and target: the first four entries against each of the others.
+PROJECTED = "SELECT vec_id, " + ", ".join(
+    f"CAST(embedding[{i}] AS DOUBLE) AS x{i}" for i in range(1, 5)
+) + ", CAST(embedding[t + 4] AS DOUBLE) AS y, t FROM embeddings CROSS JOIN range(1, 61) r(t)"
 
 
 def sensitivity() -> str:
     parts = []
-    for target in YS:
-        for number, removed in enumerate([None, *XS]):
-            use = [x for x in XS if x != removed]
-            scores = ", ".join(f"{r2(n, XS + YS, use, target)} AS {n}_score" for n in ("train", "test"))
-            parts.append(
-                f"SELECT '{target}' AS target, '{removed or 'none'}' AS removed, {scores} "
-                f"FROM train, test, solved_{number} AS solved"
-            )
+    for number, removed in enumerate([None, *XS]):
+        use = [x for x in XS if x != removed]
+        scores = ", ".join(f"{r2(n, [*XS, 'y'], use, 'y')} AS {n}_score" for n in ("train", "test"))
+        parts.append(
+            f"SELECT 'y' || t AS target, '{removed or 'none'}' AS removed, {scores} "
+            f"FROM train JOIN test USING (t) JOIN solved_{number} AS solved USING (t)"
+        )
     body = ",\nscores AS (" + " UNION ALL ".join(parts) + ")"
     whole = "(PARTITION BY target)"
     decrease = lambda n: f"max({n}_score) FILTER (WHERE removed = 'none') OVER {whole} - {n}_score"
-    return regression(PROJECTED, ("vec_id",), XS, YS) + body + f"""
+    return regression(PROJECTED, ("vec_id",), XS, ["y"], "t") + body + f"""
         SELECT target, removed, {rounded("train_score")} AS r2_train, {rounded("test_score")} AS r2_test,
             {rounded(decrease("train"))} AS decrease_train, {rounded(decrease("test"))} AS decrease_test
         FROM scores"""
@@ -393,11 +395,9 @@ def sensitivity() -> str:
 
 def slopes() -> str:
     rows = " UNION ALL ".join(
-        f"SELECT '{y}' AS target, '{x}' AS feature, {rounded(f'b_{x}_{y}')} AS coefficient FROM solved_0"
-        for y in YS
-        for x in XS
+        f"SELECT 'y' || t AS target, '{x}' AS feature, {rounded(f'b_{x}_y')} AS coefficient FROM solved_0" for x in XS
     )
-    return regression(PROJECTED, ("vec_id",), XS, YS) + " " + rows
+    return regression(PROJECTED, ("vec_id",), XS, ["y"], "t") + " " + rows
 
 
 def two_features() -> str:
@@ -406,7 +406,8 @@ def two_features() -> str:
     return regression("SELECT * FROM lineitem", LINE_IDS, fs, [t]) + f"""
         SELECT {rounded(intercept, 3)} AS intercept, {rounded(f"b_l_quantity_{t}", 4)} AS b_quantity,
             {rounded(f"b_l_discount_{t}", 3)} AS b_discount,
-            {rounded(r2("train", [*fs, t], fs, t))} AS r2_train, {rounded(r2("test", [*fs, t], fs, t))} AS r2_test
+            {rounded(r2("train", [*fs, t], fs, t))} AS r2_train, {rounded(r2("test", [*fs, t], fs, t))} AS r2_test,
+            {rounded(r2("test", [*fs, t], fs, t) + " / " + r2("train", [*fs, t], fs, t))} AS ratio
         FROM train, test, solved_0 AS solved"""
 
 
@@ -475,53 +476,42 @@ def assigned(centers: str) -> str:
         FROM ({POINTS}) CROSS JOIN ({centers}) GROUP BY run, vec_id"""
 
 
-def moved(step: int) -> list[str]:
-    """CTEs a_<step> (assignment to c_<step>) and m_<step> (the centres after the round)."""
-    return [
-        f"a_{step} AS MATERIALIZED ({assigned(f'SELECT run, k, c FROM c_{step}')})",
-        f"""m_{step} AS MATERIALIZED (
-            SELECT run, k, coalesce(n.c, o.c) AS c FROM c_{step} o LEFT JOIN (
+# Rounds from the centres in c_0 until the largest shift of a run is 0.1 or less; none after that.
+ROUNDS = f"""rounds AS (
+    SELECT 0 AS step, run, k, c, 1e300::DOUBLE AS shift FROM c_0
+    UNION ALL
+    SELECT step + 1, run, k, c, max(shift) OVER () FROM (
+        SELECT step, run, k, new AS c, sum(list_distance(old, new)) OVER (PARTITION BY run) AS shift FROM (
+            SELECT r.step, r.run, r.k, r.c AS old, coalesce(n.c, r.c) AS new
+            FROM rounds r LEFT JOIN (
                 SELECT run, k, list(x ORDER BY dim) AS c FROM (
                     SELECT run, k, dim, avg(x) AS x FROM (
-                        SELECT run, k, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM a_{step})
-                    GROUP BY ALL) GROUP BY ALL) n USING (run, k))""",
-    ]
+                        SELECT run, k, unnest(v) AS x, generate_subscripts(v, 1) AS dim
+                        FROM ({assigned("SELECT run, k, c FROM rounds WHERE shift > 0.1")}))
+                    GROUP BY ALL) GROUP BY ALL) n USING (run, k)
+            WHERE r.shift > 0.1)))"""
+LAST = "SELECT run, k, c FROM rounds WHERE step = (SELECT max(step) FROM rounds)"
 
 
 def rounds() -> str:
-    ctes = [f"c_0 AS MATERIALIZED ({FIXED})"]
-    for step in range(STEPS):
-        ctes += [*moved(step), f"c_{step + 1} AS (SELECT * FROM m_{step})"]
-    return "WITH " + ",\n".join(ctes) + f"""
+    return f"""WITH RECURSIVE c_0 AS ({FIXED}), {ROUNDS}
         SELECT CAST(run AS INTEGER) AS run, CAST(k AS INTEGER) AS k, CAST(dim AS INTEGER) AS dim,
-            {rounded("x")} AS value
-        FROM (SELECT run, k, unnest(c) AS x, generate_subscripts(c, 1) AS dim FROM c_{STEPS})"""
-
-
-ROUNDS_AT_MOST = 16  # the given tables settle after 7 to 11
+            {rounded("x")} AS value, true AS converged
+        FROM (SELECT run, k, unnest(c) AS x, generate_subscripts(c, 1) AS dim FROM ({LAST}))"""
 
 
 def whole_clustering() -> str:
-    """Draws, then rounds that change nothing any more once the largest shift is 0.1 or less."""
+    """Draws, then the rounds, then the cost of every run."""
     ctes = seed_chain()
     ctes.append(f"c_0 AS MATERIALIZED (SELECT run, place AS k, v AS c FROM picks JOIN ({POINTS}) USING (id))")
-    ctes.append("done_0 AS (SELECT false AS done)")
-    for step in range(ROUNDS_AT_MOST):
-        ctes += moved(step)
-        ctes.append(f"""done_{step + 1} AS MATERIALIZED (
-            SELECT (SELECT done FROM done_{step}) OR max(shift) <= 0.1 AS done FROM (
-                SELECT run, sum(list_distance(o.c, n.c)) AS shift
-                FROM c_{step} o JOIN m_{step} n USING (run, k) GROUP BY run))""")
-        ctes.append(f"""c_{step + 1} AS MATERIALIZED (
-            SELECT run, k, CASE WHEN (SELECT done FROM done_{step}) THEN o.c ELSE n.c END AS c
-            FROM c_{step} o JOIN m_{step} n USING (run, k))""")
-    last = f"c_{ROUNDS_AT_MOST}"
+    ctes.append(ROUNDS)
+    ctes.append(f"ended AS MATERIALIZED ({LAST})")
     ctes.append(f"""costs AS (SELECT run, sum(d2) AS cost
-        FROM ({assigned(f"SELECT run, k, c FROM {last}")}) GROUP BY 1)""")
-    return "WITH " + ",\n".join(ctes) + f"""
+        FROM ({assigned("SELECT run, k, c FROM ended")}) GROUP BY 1)""")
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f"""
         SELECT run, CAST(k AS INTEGER) AS k, CAST(dim AS INTEGER) AS dim, {rounded("x")} AS value,
-            {rounded("cost", 4)} AS cost
-        FROM (SELECT run, k, unnest(c) AS x, generate_subscripts(c, 1) AS dim FROM {last})
+            {rounded("cost", 4)} AS cost, true AS converged
+        FROM (SELECT run, k, unnest(c) AS x, generate_subscripts(c, 1) AS dim FROM ended)
         JOIN costs USING (run)"""
 
 

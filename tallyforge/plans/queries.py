@@ -29,7 +29,6 @@ MIN_USERS = 20
 # Clusters, parallel runs and seed of the clustering; seed of the splits.
 SEED = 60295531
 K, RUNS = 5, 25
-STEPS = 3
 SPLIT_SEED = 255
 
 
@@ -347,6 +346,7 @@ def regression_2f(spark, sf_dir):
         rounded(slope["l_discount"], 3).alias("b_discount"),
         rounded("r2_train").alias("r2_train"),
         rounded("r2_test").alias("r2_test"),
+        rounded("ratio").alias("ratio"),
     )
 
 
@@ -355,7 +355,7 @@ def regression_sensitivity(spark, sf_dir):
         inputs.projections(spark, sf_dir), ["vec_id"], [("train", 0.5), ("test", 0.5)], SPLIT_SEED
     )
     report = regression.sensitivity(
-        split, [f"x{i}" for i in range(1, 5)], [f"y{i}" for i in range(1, 10)]
+        split, [f"x{i}" for i in range(1, 5)], [f"y{i}" for i in range(1, 61)]
     )
     numbers = ("r2_train", "r2_test", "decrease_train", "decrease_test")
     return report.select(
@@ -369,7 +369,7 @@ def regression_coefficients(spark, sf_dir):
         inputs.projections(spark, sf_dir), ["vec_id"], [("train", 0.5), ("test", 0.5)], SPLIT_SEED
     )
     report = regression.sensitivity(
-        split, [f"x{i}" for i in range(1, 5)], [f"y{i}" for i in range(1, 10)]
+        split, [f"x{i}" for i in range(1, 5)], [f"y{i}" for i in range(1, 61)]
     )
     slopes = regression.coefficients(report)
     return slopes.select("target", "feature", rounded("coefficient").alias("coefficient"))
@@ -390,9 +390,8 @@ def regression_predictions(spark, sf_dir):
 
 def fixed_centers(spark: SparkSession, sf_dir: str) -> np.ndarray:
     """Start centres that need no draw: the first runs x k vectors by id."""
-    first = inputs.vectors(spark, sf_dir).where(F.col("vec_id") < RUNS * K)
-    rows = {row.vec_id: row["values"] for row in first.toLocalIterator()}
-    return np.array([[rows[run * K + k] for k in range(K)] for run in range(RUNS)])
+    first = inputs.vectors(spark, sf_dir).orderBy("vec_id").limit(RUNS * K).collect()
+    return np.array([row["values"] for row in first]).reshape(RUNS, K, -1)
 
 
 def kmeans_seed_d2(spark, sf_dir):
@@ -402,10 +401,12 @@ def kmeans_seed_d2(spark, sf_dir):
 
 def kmeans_lloyd_steps(spark, sf_dir):
     points = inputs.points(spark, sf_dir)
-    result = clustering.lloyd(points, fixed_centers(spark, sf_dir), 0.0, STEPS)
+    result = clustering.lloyd(points, fixed_centers(spark, sf_dir))
     centers = clustering.centers_table(spark, result)
-    rows = centers.select("run", "k", F.posexplode("center").alias("pos", "value"))
-    return rows.select("run", "k", (F.col("pos") + 1).alias("dim"), rounded("value").alias("value"))
+    rows = centers.select("run", "k", "converged", F.posexplode("center").alias("pos", "value"))
+    return rows.select(
+        "run", "k", (F.col("pos") + 1).alias("dim"), rounded("value").alias("value"), "converged"
+    )
 
 
 def kmeans_cost_by_run(spark, sf_dir):
@@ -436,10 +437,10 @@ def kmeans_full(spark, sf_dir):
     result = clustering.kmeans(points, K, RUNS, SEED)
     costs = clustering.cost_by_run(points, result.centers)
     centers = clustering.centers_table(spark, result).join(costs, "run")
-    rows = centers.select("run", "k", "cost", F.posexplode("center").alias("pos", "value"))
+    rows = centers.select("run", "k", "cost", "converged", F.posexplode("center").alias("pos", "value"))
     return rows.select(
         "run", "k", (F.col("pos") + 1).alias("dim"), rounded("value").alias("value"),
-        rounded("cost", 4).alias("cost"),
+        rounded("cost", 4).alias("cost"), "converged",
     )
 
 
@@ -462,8 +463,8 @@ def rf_depth_sweep(spark, sf_dir):
 
 def model_compare(spark, sf_dir):
     rows = _tree_rows(spark, sf_dir)
-    boosted = trees.depth_sweep(rows, "gbt", trees.higgs_gbt, (1, 3, 6), parallelism=3)
-    grown = trees.depth_sweep(rows, "forest", trees.forest, (1, 3, 6), parallelism=3)
+    boosted = trees.depth_sweep(rows, "gbt", trees.higgs_gbt, trees.GBT_DEPTHS, parallelism=4)
+    grown = trees.depth_sweep(rows, "forest", trees.forest, trees.FOREST_DEPTHS, parallelism=4)
     return trees.compare(boosted, grown)
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job here wants.  Anything already set by the cluster wins.
+# Settings every job here wants, where neither the cluster nor a running session has set them.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,13 +23,18 @@ DEFAULTS = {
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; ``master`` only for local runs and tests.
 
-    Keyword names use ``__`` for the dots of a setting name.
+    What ``spark-submit`` or the cluster's files set stays as it is; a session that runs already is
+    given back untouched but for the keyword settings.  Keyword names use ``__`` for the dots of a
+    setting name.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in DEFAULTS.items():
-        builder = builder.config(key, value)
+    if SparkSession.getActiveSession() is None:
+        given = SparkConf()
+        for key, value in DEFAULTS.items():
+            if not given.contains(key):
+                builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
@@ -42,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
+    elif context.master.startswith("local") and not context.master.startswith("local-cluster"):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -210,14 +210,29 @@ def test_models_too_large_to_send_along(complete, monkeypatch):
     got = {(r.station, r.measurement, r.year): r.rebuilt for r in large.collect()}
     assert got.keys() == expected.keys()
     assert all(np.allclose(got[k], expected[k]) for k in got)
-    assert rows(components.covariance_cells(components.covariance_rows(complete)).selectExpr(
-        "measurement", "i", "j", "round(cov, 9)")) == rows(
-        components.covariance_cells(components.covariance_rows(complete)).selectExpr(
-            "measurement", "i", "j", "round(cov, 9)"))
+    shown = ("measurement", "i", "j", "n", "round(cov, 9) + 0.0")
+    joined = rows(components.covariance_cells(components.covariance_rows(complete)).selectExpr(*shown))
+    monkeypatch.undo()
+    sent = rows(components.covariance_cells(components.covariance_rows(complete)).selectExpr(*shown))
+    assert joined == sent and joined
+
+
+@pytest.mark.parametrize("limit", [components.MODEL_BYTES, 0])
+def test_a_null_measure_is_a_measure(spark, monkeypatch, limit):
+    """Rows whose measure is null keep their means, sums and reconstructions, either way models travel."""
+    monkeypatch.setattr(components, "MODEL_BYTES", limit)
+    generator = np.random.default_rng(4)
+    data = [
+        (f"S{i}", None if i % 2 else "T", 1900 + i, generator.normal(size=3).tolist()) for i in range(40)
+    ]
+    table = spark.createDataFrame(data, "station string, measurement string, year int, values array<double>")
+    assert components.mean_vectors(table).count() == 2
+    assert components.covariance_cells(components.covariance_rows(table)).count() == 18
+    assert components.reconstruct(table, components.fit_basis(table, 2)).count() == 40
 
 
 def test_many_measures_in_one_task(spark, complete, monkeypatch):
-    monkeypatch.setattr(components, "OPEN_MEASURES", 1)
+    monkeypatch.setattr(components, "OPEN_BYTES", 0)
     cells = components.covariance_cells(components.covariance_rows(complete.coalesce(1)))
     monkeypatch.undo()
     usual = components.covariance_cells(components.covariance_rows(complete))
