@@ -17,6 +17,8 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
+from tallyforge.functions.vectors import matrix
+
 REPORT = (
     "target string, removed string, intercept double, coefficients map<string, double>, "
     "r2_train double, r2_test double, ratio double, decrease_train double, decrease_test double"
@@ -30,20 +32,21 @@ def moments(df: DataFrame, columns: Sequence[str], set_column: str) -> DataFrame
     A task multiplies its rows as a matrix and passes on one row per set, whatever the number of
     columns; Spark adds those up.
     """
-    columns = list(columns)
-    rows = df.select(
-        F.col(set_column).cast("string").alias("set"), *[F.col(c).cast("double").alias(c) for c in columns]
-    ).dropna(subset=columns)
-    means = rows.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    pivot = np.array([means[c] or 0.0 for c in columns])
+    # One array instead of many columns: planning time does not grow with their number either.
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    rows = df.select(F.col(set_column).cast("string").alias("set"), values.alias("v")).where(
+        F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x))
+    )
+    means = rows.agg(vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("means")).first()["means"]
+    pivot = np.array(means or [0.0] * len(columns))
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             coded = batch.column(0).dictionary_encode(null_encoding="encode")
             codes = coded.indices.to_numpy()
-            shifted = [batch.column(i + 1).to_numpy(zero_copy_only=False) - p for i, p in enumerate(pivot)]
-            terms = np.column_stack([np.ones(batch.num_rows), *shifted])
+            shifted = matrix(batch.column("v"), len(pivot)) - pivot
+            terms = np.column_stack([np.ones(batch.num_rows), shifted])
             for code, name in enumerate(coded.dictionary.to_pylist()):
                 own = terms[codes == code]
                 sums[name] = sums.get(name, 0.0) + own.T @ own
