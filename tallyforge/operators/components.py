@@ -92,7 +92,7 @@ def covariance_sums(
             d = len(n)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([name] * d),
+                    pa.array([name] * d, pa.string()),
                     pa.array(np.arange(1, d + 1, dtype=np.int32)),
                     list_column(n),
                     list_column(sx),
@@ -215,7 +215,8 @@ def basis_model(means: DataFrame, pairs: DataFrame, k: int = 3) -> DataFrame:
             F.transform(F.sort_array(F.collect_list(F.struct("rank", "eigvec"))), lambda p: p["eigvec"])
         ).alias("basis")
     )
-    return means.join(first, "measurement")
+    same = means["measurement"].eqNullSafe(first["measurement"])
+    return means.join(first, same).drop(first["measurement"])
 
 
 def reconstruct(station_years: DataFrame, model: DataFrame, keep_vectors: bool = False) -> DataFrame:
