@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here wants, where neither the cluster nor a running session has set them.
@@ -14,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# Only for sessions made here for a local run; a cluster sets these itself.
+LOCAL = {
     # Intermediate tables go from the checkpoint folder when no DataFrame refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
@@ -27,17 +29,22 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     given back untouched but for the keyword settings.  Keyword names use ``__`` for the dots of a
     setting name.
     """
+    running = SparkSession.getActiveSession() is not None
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    if SparkSession.getActiveSession() is None:
-        given = SparkConf()
+        for key, value in LOCAL.items():
+            builder = builder.config(key, value)
+    given = {key.replace("__", "."): value for key, value in conf.items()}
+    for key, value in given.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    if not running:
+        submitted = spark.sparkContext.getConf()
         for key, value in DEFAULTS.items():
-            if not given.contains(key):
-                builder = builder.config(key, value)
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+            if key not in given and not submitted.contains(key):
+                spark.conf.set(key, value)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
