@@ -515,6 +515,25 @@ def whole_clustering() -> str:
         JOIN costs USING (run)"""
 
 
+def stump(model: str) -> str:
+    """Errors of the single split with the least impurity, which is the same by Gini and by variance."""
+    values = "[l_quantity, l_discount, l_tax]"
+    return f"""
+        WITH r AS (SELECT {split_name(LINE_IDS, 0.7)} AS set, CAST(l_extendedprice > 40000 AS INTEGER) AS y,
+            {values} AS x FROM lineitem),
+        counts AS (SELECT f, v, sum(y) AS p, count(*) AS n FROM (
+            SELECT unnest([1, 2, 3]) AS f, unnest(x) AS v, y FROM r WHERE set = 'train') GROUP BY f, v),
+        below AS (SELECT f, v, lead(v) OVER w AS above, sum(p) OVER w AS pl, sum(n) OVER w AS nl,
+            sum(p) OVER (PARTITION BY f) AS p, sum(n) OVER (PARTITION BY f) AS n
+            FROM counts WINDOW w AS (PARTITION BY f ORDER BY v)),
+        best AS (SELECT f, (v + above) / 2 AS t, pl / nl > 0.5 AS low, (p - pl) / (n - nl) > 0.5 AS high
+            FROM below WHERE above IS NOT NULL
+            ORDER BY pl * (nl - pl) / nl + (p - pl) * (n - nl - p + pl) / (n - nl) LIMIT 1)
+        SELECT '{model}' AS model, 1 AS depth, set, count(*) AS n,
+            {rounded("avg(CAST((CASE WHEN x[f] <= t THEN low ELSE high END) <> (y = 1) AS INTEGER))")} AS error
+        FROM r, best GROUP BY set"""
+
+
 COSTS = f"SELECT run, sum(d2) AS cost FROM ({assigned(FIXED)}) GROUP BY 1"
 ENTROPY = f"""
     WITH a AS MATERIALIZED (SELECT vec_id, list(k ORDER BY run) AS sig FROM ({assigned(FIXED)}) GROUP BY 1),
@@ -524,6 +543,8 @@ ENTROPY = f"""
     FROM (SELECT runs, n / sum(n) OVER (PARTITION BY runs) AS p FROM counts) GROUP BY 1"""
 
 ORACLES: dict[str, str] = {
+    "tree_stump_errors": stump("boosted"),
+    "forest_stump_errors": stump("forest"),
     **{f"ngram_top5_n{n}": ngram_top5(n) for n in range(1, 6)},
     "ngram_top5_all": NGRAM_ALL,
     "ngram5_punct_deleted_top100": f"SELECT count, ngram FROM ({ngrams(5, True)}) ORDER BY count DESC, ngram LIMIT 100",

@@ -451,6 +451,29 @@ def _tree_rows(spark, sf_dir):
     return sampling.hash_split(inputs.labelled_vectors(spark, sf_dir), ["vec_id"], seed=SPLIT_SEED)
 
 
+STUMP_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+STUMP_PRICE = 40_000
+STUMP_BINS = 64  # more than any of these features has values: every midpoint is tried
+
+
+def _stump_errors(spark, sf_dir, name, make):
+    """One split over order lines, through the sweep: its best midpoint has a closed form."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    dear = lines.withColumn("dear", (F.col("l_extendedprice") > STUMP_PRICE).cast("double"))
+    split = sampling.hash_split(dear, ["l_orderkey", "l_linenumber", "l_partkey"], seed=SPLIT_SEED)
+    rows = trees.labelled(split, "dear", STUMP_FEATURES, ["set"])
+    sweep = trees.depth_sweep(rows, name, make, (1,))
+    return sweep.select("model", "depth", "set", "n", rounded("error").alias("error"))
+
+
+def tree_stump_errors(spark, sf_dir):
+    return _stump_errors(spark, sf_dir, "boosted", lambda depth: trees.gbt(depth, iterations=1, bins=STUMP_BINS))
+
+
+def forest_stump_errors(spark, sf_dir):
+    return _stump_errors(spark, sf_dir, "forest", lambda depth: trees.forest(depth, trees=1, bins=STUMP_BINS))
+
+
 def gbt_depth_sweep(spark, sf_dir):
     sweep = trees.depth_sweep(_tree_rows(spark, sf_dir), "gbt", trees.cover_gbt, trees.GBT_DEPTHS, parallelism=4)
     return sweep.drop("seconds")
@@ -488,7 +511,7 @@ QUERIES: dict[str, Query] = {
             regression_2f, regression_sensitivity, regression_coefficients, regression_predictions,
             kmeans_seed_d2, kmeans_lloyd_steps, kmeans_cost_by_run, kmeans_cost_summary,
             kmeans_assignment, kmeans_entropy, kmeans_full,
-            gbt_depth_sweep, rf_depth_sweep, model_compare,
+            tree_stump_errors, forest_stump_errors, gbt_depth_sweep, rf_depth_sweep, model_compare,
         )
     },
 }
