@@ -386,23 +386,30 @@ def near_duplicates(
 def keep_one(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, miss: float = MISS
 ) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their group, all columns as they are.
+    """One row of each group, that of the smallest id, all columns as they are.
 
-    Of rows that repeat both id and text one stays.  Rows with a null id stay unless a row with an id
-    is alike; of such rows with equal texts one stays.
+    Where an id is null or repeated, each different text of it is a document of its own: null ids are
+    searched too and rank below all others, and texts of one id rank by their SHA-256.  Of rows that
+    repeat both id and text one stays, whichever; null counts as the empty text.
     """
-    kept = (
-        near_duplicates(docs, doc_id, text, width, percent, miss)
-        .where("kept")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         F.col(f"`{doc_id}`").cast("long").alias("_id"),
         F.col(f"`{text}`").cast("string").alias("_text"),
     )
-    same = rows["_id"].eqNullSafe(kept["_id"])
-    repeated = F.when(kept["_rows"] > 1, F.sha2(F.coalesce("_text", F.lit("")), 256)).otherwise("")
-    chosen = rows.join(kept, same).select(rows["_id"], repeated.alias("_text"), "_row")
-    return chosen.dropDuplicates(["_id", "_text"]).select("_row.*")
+    unclear = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or _id is null")
+    if not unclear.limit(1).count():
+        kept = near_duplicates(docs, doc_id, text, width, percent, miss).where("kept")
+        return rows.join(kept.select(F.col("doc_id").alias("_id")), "_id").select("_row.*")
+    rows = rows.withColumn("_key", F.sha2(F.coalesce("_text", F.lit("")), 256))
+    # Numbers rise with the order, and are written, so that all later steps see the same ones.
+    numbered = stored(
+        rows.select("_id", "_key", "_text")
+        .dropDuplicates(["_id", "_key"])
+        .orderBy(F.col("_id").asc_nulls_last(), "_key")
+        .select("_id", "_key", "_text", F.monotonically_increasing_id().alias("_number"))
+    )
+    kept = near_duplicates(numbered, "_number", "_text", width, percent, miss).where("kept")
+    chosen = numbered.join(kept.select(F.col("doc_id").alias("_number")), "_number").select("_id", "_key")
+    same = rows["_id"].eqNullSafe(chosen["_id"]) & (rows["_key"] == chosen["_key"])
+    return rows.join(chosen, same).select(rows["_id"], rows["_key"], "_row").dropDuplicates(["_id", "_key"]).select("_row.*")

@@ -2,7 +2,7 @@
 
 import pytest
 from plain import (
-    DOCUMENTS, awkward, base_spans, host_and_path, near_duplicates, quality as plain_quality, rule, sha256, span_text,
+    DOCUMENTS, awkward, base_spans, host_and_path, near_duplicates, quality as plain_quality, rule, sha256, span_text, text_of,
 )
 from pyspark.sql import functions as F
 
@@ -268,3 +268,22 @@ def test_near_duplicates_of_null_and_repeated_ids(docs):
     assert kept.columns == [*docs.columns, "_id", "_text", "_rows"]
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(1) == 1 and ids.count(2) == 0 and ids.count(None) == 1 and {4, 5, 6, 7} <= set(ids)
+
+
+def test_keep_one_judges_each_text_of_null_and_repeated_ids(spark, docs):
+    survivors = {r.text for r in neardup.keep_one(docs, width=3, percent=85).collect() if r.doc_id is None}
+    assert survivors == {text_of(2, 80)}
+    a, b, c, d = (text_of(seed, 100) for seed in (1, 2, 3, 6))
+    near = lambda t: t + " and more"
+    table = [
+        (1, a), (5, b), (5, a), (5, near(a)), (9, b), (6, c), (6, near(c)), (7, near(d)), (None, d), (None, near(b)),
+        *[(None, text_of(8, n)) for n in (100, 101, 102)], *[(None, "alone " + text_of(9, 90))] * 3, (None, None), (None, ""),
+    ]
+    for part in (1, 5):
+        got = neardup.keep_one(spark.createDataFrame(table, "doc_id long, text string").repartition(part), width=3, percent=85).collect()
+        by = sorted((str(r.doc_id), r.text or "") for r in got)
+        assert [t for i, t in by if i == "5"] == [b] and [i for i, t in by if i in "19"] == ["1"]
+        assert len([i for i, _ in by if i == "6"]) == 1 and ("7", near(d)) in by
+        nulls = [t for i, t in by if i == "None"]
+        assert len(nulls) == 3 and nulls[0] == "" and nulls[1] == "alone " + text_of(9, 90)
+        assert nulls[2] in {text_of(8, n) for n in (100, 101, 102)}
