@@ -1,6 +1,7 @@
 """Secret scanning: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long runs of key-like characters.  Their features: length, how usual their character
+Candidates are long runs of key-like characters, and whatever is assigned to a name with a secret's
+word or quoted after one, of any length and characters.  Their features: length, how usual their character
 transitions are in the corpus, how much of them dictionary words cover, the path they come from and the
 words next to them.  The forest is trained on labelled findings.
 """
@@ -25,6 +26,8 @@ SECRET_WORDS = "token secret password passwd pwd api apikey api_key key auth bea
 DIGEST_WORDS = "sha sha1 sha256 md5 checksum digest commit uuid guid hash etag version".split()
 TEST_WORDS = "test tests example examples sample samples fixture fixtures mock doc docs demo".split()
 NEIGHBOURHOOD = 40
+# Share of a bare run that dictionary words must cover before its form counts as no secret.
+WORDY = 0.8
 # Labelled findings the forest is fitted on, at most (the smallest by hash), and its size.
 TRAINING_ROWS = 10_000
 TREES, DEPTH, SEED = 24, 6, 17
@@ -33,6 +36,13 @@ TREES, DEPTH, SEED = 24, 6, 17
 DICTIONARY_SHARE = 0.002
 SHORTEST_WORD = 3
 
+_NAME = re.compile(rf"(?:{'|'.join(SECRET_WORDS)})[a-z0-9_]*", re.IGNORECASE)
+# In quotes to their end on the same line, escapes included; else up to a space or quote.
+_QUOTED = "|".join(rf"{q}(?P<{n}>(?:[^{q}\\\n]|\\[^\n])+){q}" for n, q in (("double", '"'), ("single", "'"), ("back", "`")))
+_ASSIGNED = re.compile(rf"[\"'`\])]*\s*(?::=|=>|[=:]+)\s*(?:{_QUOTED}|[\"'`]?(?P<bare>[^\s\"'`]*[^\s\"'`,;]))")
+# Not from the quote that ends a quoted name.
+_QUOTED_AFTER = re.compile(rf"(?![\"'`]\s*[=:])[^\n\"'`]{{0,{NEIGHBOURHOOD}}}(?:{_QUOTED})")
+
 # Classes of characters for transitions: a-z, digits, everything else.
 CLASSES = 28
 _CLASS = np.full(256, CLASSES - 1, dtype=np.int64)
@@ -107,7 +117,8 @@ def describe(
     """The features of FEATURES, in that order."""
     raw = np.frombuffer(found.encode(), dtype=np.uint8)
     classes = _CLASS[raw]
-    steps = transitions[classes[:-1], classes[1:]]
+    # A single character has no transition: the mean one stands for it.
+    steps = transitions[classes[:-1], classes[1:]] if len(raw) > 1 else np.array([transitions.mean()])
     kinds = np.where(classes < 26, np.where(raw < 97, 1, 0), np.where(classes == 26, 2, 3))
     near = set(re.findall(r"[a-z0-9_]+", before.lower())[-4:])
     parts = [p for p in re.split(r"[/\\._-]+", path.lower()) if p]
@@ -121,7 +132,7 @@ def describe(
         float((kinds == 1).mean()),
         sum(c in "0123456789abcdefABCDEF" for c in found) / size,
         len(set(found)) / size,
-        float((kinds[1:] != kinds[:-1]).mean()),
+        float((kinds[1:] != kinds[:-1]).mean()) if len(raw) > 1 else 0.0,
         float(path.count("/")),
         float(len(path)),
         float(any(p in TEST_WORDS for p in parts)),
@@ -133,6 +144,16 @@ def describe(
     ]
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Starts and ends of the candidates in ``text``, each once; a value may hold a long run, and both are given."""
+    found = {match.span() for match in re.finditer(CANDIDATE, text)}
+    for name in _NAME.finditer(text):
+        for pattern in (_ASSIGNED, _QUOTED_AFTER):
+            if value := pattern.match(text, name.end()):
+                found.add(value.span(value.lastgroup))
+    return sorted(found)
+
+
 _FOUND = "doc_id long, start long, length long, secret string, before string, after string, features array<double>"
 
 
@@ -147,16 +168,14 @@ def _scan(transitions: np.ndarray, dictionary):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = dictionary.value
         longest = max(map(len, words), default=0)
-        pattern = re.compile(CANDIDATE)
         for batch in batches:
             rows = []
             for doc_id, text, path in zip(*batch.to_pydict().values(), strict=True):
                 text = text or ""
-                for match in pattern.finditer(text):
-                    before = text[max(0, match.start() - NEIGHBOURHOOD) : match.start()]
-                    after = text[match.end() : match.end() + NEIGHBOURHOOD]
-                    features = describe(match[0], before, after, path or "", transitions, words, longest)
-                    rows.append((doc_id, match.start(), len(match[0]), match[0], before, after, features))
+                for start, end in spans(text):
+                    secret, before, after = text[start:end], text[max(0, start - NEIGHBOURHOOD) : start], text[end : end + NEIGHBOURHOOD]
+                    features = describe(secret, before, after, path or "", transitions, words, longest)
+                    rows.append((doc_id, start, end - start, secret, before, after, features))
             names = [f.name for f in schema]
             yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=schema)
 
@@ -178,13 +197,15 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 def labelled_by_form(found: DataFrame) -> Column:
     """Label of a finding whose form leaves no doubt, else null.
 
-    1: quoted, and assigned to a name with a secret's word; 0: neither quoted nor assigned, with no such
-    word before it.
+    1: quoted, and assigned to a name with a secret's word (``auth_2``, not ``author``); 0: neither quoted
+    nor assigned, with no such word before it, and covered by dictionary words.  A bare run of other
+    characters may be a key, and has no label.
     """
     names = "|".join(SECRET_WORDS)
-    sure = F.col("before").rlike(rf"(?i)({names})[a-z0-9_]*\s*[=:]\s*[\"'`]$") & F.col("after").rlike("^[\"'`]")
+    sure = F.col("before").rlike(rf"(?i)({names})s?([0-9_][a-z0-9_]*)?\s*[=:]\s*[\"'`]$") & F.col("after").rlike("^[\"'`]")
     never = ~F.col("before").rlike(rf"(?i)\b({names})\b|[=:]\s*[\"'`]?$") & ~F.col("after").rlike("^[\"'`]")
-    return F.when(sure, 1.0).when(never, 0.0)
+    wordy = F.col("features")[FEATURES.index("dictionary")] >= WORDY
+    return F.when(sure, 1.0).when(never & wordy, 0.0)
 
 
 def train(found: DataFrame, label: Column, training_rows: int = TRAINING_ROWS) -> RandomForestClassificationModel | float:
@@ -222,6 +243,10 @@ def scan(
 ) -> DataFrame:
     """``doc_id, start, length, secret_sha256, score, is_secret`` of every candidate.
 
+    Candidates are runs of CANDIDATE, and values of any length and characters that are assigned to a
+    name with a word of SECRET_WORDS, or quoted within NEIGHBOURHOOD characters after one on its line;
+    a quoted value ends on its line.  Where a value holds a run, both are given.
+
     ``label`` (1.0, 0.0 or null, over the columns of ``candidates``) gives the labelled findings; by
     default those whose form leaves no doubt.  A null or empty text has no candidates; repeated rows
     give their findings each; without labels of two kinds all findings get the only label, or none is

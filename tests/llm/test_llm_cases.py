@@ -161,6 +161,24 @@ def test_secrets(docs, empty):
     assert secrets.scan(empty).collect() == []
 
 
+def test_short_punctuated_and_bare_secrets(spark):
+    key = "Zk8Qw3Xv91LmPq7TrY2sBn5C"
+    texts = [
+        'password = "S3cret!pass9"', "pwd='abcd1234efgh'", "the password is 'x!1' now", 'api_key: a.b@c$d, and', '{"token": "q"}',
+        'secret = "a \\"b\\" c"', f"we lost {key} in the river", "internationalisation", 'author = "Jane"',
+        'password: str = "p.w"', 'password = "open',
+    ]
+    wanted = ["S3cret!pass9", "abcd1234efgh", "x!1", "a.b@c$d", "q", 'a \\"b\\" c', key, "internationalisation", "Jane", "p.w", "open"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.candidates(table, path=None)
+    by = {(r.doc_id, r.secret): r for r in found.select("*", secrets.labelled_by_form(found).alias("label")).collect()}
+    assert set(enumerate(wanted)) <= set(by)
+    assert all(texts[d][r.start : r.start + r.length] == s for (d, s), r in by.items())
+    assert [by[d, wanted[d]].label for d in (0, 1, 6, 7, 8)] == [1.0, 1.0, None, 0.0, None]
+    got = {(r.doc_id, r.secret_sha256) for r in secrets.scan(table, path=None).where("is_secret").collect()}
+    assert {(d, sha256(wanted[d])) for d in (0, 1)} <= got
+
+
 def test_secret_accuracy(spark, sf_dir):
     docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.1") + "/documents.parquet")
     found = secrets.candidates(docs)
