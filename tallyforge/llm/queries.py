@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm import fingerprint, mixing, neardup, packing, pii, quality, secrets, sharding, urls, warc
+from tallyforge.llm import alignment, fingerprint, mixing, neardup, packing, pii, quality, secrets, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document's text."""
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_warc": op2_warc,
@@ -79,4 +84,5 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
+    "op13_alignment": op13_alignment,
 }
