@@ -264,6 +264,32 @@ JOIN signed ed ON ed.nr = edits.nr AND ed.kind = 1
 JOIN signed nxt ON nxt.nr = edits.next_nr AND nxt.kind = 0
 """
 
+NEGATIVES = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), anchors AS (
+  SELECT * FROM usable WHERE vec_id % 100 = 0
+), products AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+    list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM anchors a JOIN usable r ON r.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM products WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.other_id))::INTEGER AS rank,
+  n.other_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives JOIN products n USING (anchor_id)
+WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op1_sharding": SHARDING,
     "op2_warc": WARC,
@@ -272,4 +298,5 @@ ORACLES: dict[str, str] = {
     "op8_mixing": MIXING,
     "op9_fingerprints": FINGERPRINTS,
     "op10_near_duplicates": NEAR_DUPLICATES,
+    "op11_hard_negatives": NEGATIVES,
 }

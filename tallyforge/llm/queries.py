@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm import alignment, fingerprint, mixing, neardup, packing, pii, quality, secrets, sharding, urls, warc
+from tallyforge.llm import alignment, fingerprint, mixing, neardup, negatives, packing, pii, quality, secrets, sharding, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,19 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, a seventh of the labels moved on by one."""
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("vector", negatives.integer_vector(F.col("embedding")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, label=moved)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers over every document's text."""
     return alignment.report(table(spark, sf_dir, "documents"))
@@ -84,5 +97,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_toxicity": op12_toxicity,
     "op13_alignment": op13_alignment,
 }

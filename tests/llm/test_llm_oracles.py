@@ -20,5 +20,5 @@ def test_same_rows(spark, con, sf_dir, name):
 
 
 def test_without_oracle_are_only_trained_models():
-    assert set(QUERIES) - set(ORACLES) == {"op3_url_filter", "op5_secrets", "op6_pii"}
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert set(QUERIES) - set(ORACLES) == {"op3_url_filter", "op5_secrets", "op6_pii", "op12_toxicity", "op13_alignment"}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
