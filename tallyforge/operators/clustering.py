@@ -280,6 +280,14 @@ def cost_summary(costs: DataFrame) -> DataFrame:
     )
 
 
+def best_centers(points: DataFrame, result: ClusterRuns) -> DataFrame:
+    """``run, k, center, cost, converged`` of the run of lowest cost over ``points``, the lower run on ties."""
+    costs = cost_by_run(points, result.centers)
+    best = costs.agg(F.min(F.struct("cost", "run")).alias("best")).select("best.run", "best.cost")
+    centers = centers_table(points.sparkSession, result)
+    return centers.join(F.broadcast(best), "run").select("run", "k", "center", "cost", "converged")
+
+
 def joint_entropy(assigned: DataFrame, runs: int) -> DataFrame:
     """``runs, entropy`` (bits) of the joint assignment by the first 1, 2, ... ``runs`` runs.
 

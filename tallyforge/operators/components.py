@@ -6,22 +6,25 @@ Spark adds those up, and only the d x d result of a measure is decomposed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.functions.vectors import list_column, matrix
-from tallyforge.joins import join_small, table_bytes
+from tallyforge.joins import table_bytes
 from tallyforge.session import materialise
+from tallyforge.sources.stations import days_of, of_equal_length
 
 MODEL_BYTES = 32 * 1024 * 1024
 OPEN_BYTES = 64 * 1024 * 1024  # sums that a task holds before it passes them on
 SALTS = 32
+ROW_KEYS = ["station", "measurement", "year"]
 
 
 def _measures(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
@@ -34,12 +37,12 @@ def _measures(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
 
 def mean_vectors(station_years: DataFrame) -> DataFrame:
     """``measurement, mean``: the day means in day order (NaN for a day without values)."""
-    rows = station_years.select("measurement", F.posexplode_outer("values").alias("pos", "value"))
     recorded = F.when(~F.isnan("value"), F.col("value"))
-    days = rows.where(F.col("pos").isNotNull()).groupBy("measurement", "pos").agg(
-        F.coalesce(F.avg(recorded), F.lit(float("nan"))).alias("mean")
+    days = of_equal_length(
+        days_of(station_years, ["measurement"]).groupBy("measurement", "day"),
+        F.coalesce(F.avg(recorded), F.lit(float("nan"))).alias("mean"),
     )
-    in_order = F.sort_array(F.collect_list(F.struct("pos", "mean")))
+    in_order = F.sort_array(F.collect_list(F.struct("day", "mean")))
     return days.groupBy("measurement").agg(F.transform(in_order, lambda d: d["mean"]).alias("mean"))
 
 
@@ -219,42 +222,54 @@ def basis_model(means: DataFrame, pairs: DataFrame, k: int = 3) -> DataFrame:
     return means.join(first, same).drop(first["measurement"])
 
 
+class _Projection:
+    """Complete vectors of one measure in a batch on its model."""
+
+    def __init__(self, part: pa.RecordBatch, mean: np.ndarray, basis: np.ndarray):
+        values = matrix(part.column("values"), len(mean))
+        complete = ~np.isnan(values).any(axis=1)
+        self.mean, self.basis = mean, basis.reshape(-1, len(mean))
+        self.rows = part.filter(pa.array(complete))
+        rest = values[complete] - mean
+        self.coeff = rest @ self.basis.T
+        errors = []
+        for j, unit in enumerate(self.basis):
+            rest = rest - self.coeff[:, j : j + 1] * unit
+            errors.append((rest * rest).mean(axis=1))
+        self.errors = np.column_stack(errors)
+
+    def rebuilt(self) -> np.ndarray:
+        """Mean plus the first 1, 2, ... parts of every row, end to end."""
+        return _rebuilt(self.coeff, self.mean, self.basis)
+
+
+def _rebuilt(coeff: np.ndarray, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    done, lines = np.zeros((len(coeff), len(mean))) + mean, []
+    for j, unit in enumerate(basis.reshape(-1, len(mean))):
+        done = done + coeff[:, j : j + 1] * unit
+        lines.append(done)
+    return np.concatenate(lines, axis=1)
+
+
 def reconstruct(station_years: DataFrame, model: DataFrame, keep_vectors: bool = False) -> DataFrame:
-    """``station, measurement, year, coeff array, mse array[, rebuilt array<array>]``.
+    """``station, measurement, year, coeff array, mse array[, values, rebuilt array]``.
 
     ``coeff`` are the projections of the centred vector on the basis; ``mse[k-1]`` is the mean
     squared error of mean + first k parts.  Vectors with a missing entry have no error and are
     left out; an exact fit keeps its zero.  k dot products per row, no d x d projector.
     """
-    rows, lookup = _with_models(
-        station_years.select("station", "measurement", "year", "values"), model
-    )
-    keys = ["station", "measurement", "year"]
+    rows, lookup = _with_models(station_years.select(*ROW_KEYS, "values"), model)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, at in _measures(batch):
-                mean = lookup(batch, name, int(at[0]), "mean")
-                basis = lookup(batch, name, int(at[0]), "basis").reshape(-1, len(mean))
-                values = matrix(batch.column("values").take(pa.array(at)), len(mean))
-                complete = ~np.isnan(values).any(axis=1)
-                rest = values[complete] - mean
-                part = batch.take(pa.array(at[complete]))
-                coeff = rest @ basis.T
-                errors, rebuilt, done = [], [], np.zeros_like(rest) + mean
-                for j, unit in enumerate(basis):
-                    step = coeff[:, j : j + 1] * unit
-                    rest = rest - step
-                    errors.append((rest * rest).mean(axis=1))
-                    if keep_vectors:
-                        done = done + step
-                        rebuilt.append(done)
-                columns = [part.column(c) for c in keys]
-                columns += [list_column(coeff), list_column(np.column_stack(errors))]
-                names = [*keys, "coeff", "mse"]
+                mean, basis = (lookup(batch, name, int(at[0]), field) for field in ("mean", "basis"))
+                found = _Projection(batch.take(pa.array(at)), mean, basis)
+                columns = [found.rows.column(c) for c in ROW_KEYS]
+                columns += [list_column(found.coeff), list_column(found.errors)]
+                names = [*ROW_KEYS, "coeff", "mse"]
                 if keep_vectors:
-                    flat = list_column(np.concatenate(rebuilt, axis=1))
-                    columns += [part.column("values"), flat]
+                    columns += [found.rows.column("values"), list_column(found.rebuilt())]
                     names += ["values", "rebuilt"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -271,39 +286,76 @@ def fit_basis(station_years: DataFrame, k: int = 3, tasks: int | None = None) ->
     return basis_model(means, eigenpairs(covariance_rows(station_years, tasks, means), k), k)
 
 
-def extremes(errors: DataFrame, count: int = 2) -> DataFrame:
-    """The ``count`` rows with the lowest and highest error at the last rank, per measure;
-    ties by station and year."""
-    last = errors.withColumn("error", F.element_at("mse", -1))
-    measure = Window.partitionBy("measurement")
+EXTREMES = (
+    "station string, measurement string, year int, error double, kind string, coeff array<double>, "
+    "values array<double>, mean array<double>, rebuilt array<double>"
+)
 
-    def pick(kind: str, order) -> DataFrame:
-        place = F.row_number().over(measure.orderBy(order, "station", "year"))
-        chosen = last.withColumn("place", place).where(F.col("place") <= count)
-        return chosen.withColumn("kind", F.lit(kind))
 
-    return pick("best", F.asc("error")).unionByName(pick("worst", F.desc("error")))
+def extremes(station_years: DataFrame, model: DataFrame, count: int = 2) -> DataFrame:
+    """``station, measurement, year, error, kind, place, coeff, values, mean, rebuilt`` of the ``count`` rows
+    of lowest ('best') and highest ('worst') error at the last rank, per measure.
+
+    One pass: a task keeps the ends of what it has read, with their vectors, and only those are merged.
+    Ties go to the smaller station and year, nulls last; rows whose error is no number have no place.
+    """
+    rows, lookup = _with_models(station_years.select(*ROW_KEYS, "values"), model)
+    kinds = {"best": "ascending", "worst": "descending"}
+
+    def ends(table: pa.Table, order: str) -> pa.Table:
+        keys = [("error", order), ("station", "ascending"), ("year", "ascending")]
+        return table.take(pc.select_k_unstable(table, min(count, table.num_rows), sort_keys=keys))
+
+    def flush(held: dict[str, tuple]) -> Iterator[pa.RecordBatch]:
+        for mean, basis, tables in held.values():
+            for kind, table in tables.items():
+                coeff = matrix(table["coeff"].combine_chunks(), len(basis) // max(1, len(mean)))
+                n = table.num_rows
+                yield from (
+                    table.append_column("kind", pa.array([kind] * n, pa.string()))
+                    .append_column("mean", list_column(np.tile(mean, (n, 1))))
+                    .append_column("rebuilt", list_column(_rebuilt(coeff, mean, basis)))
+                    .select(["station", "measurement", "year", "error", "kind", "coeff", "values", "mean", "rebuilt"])
+                    .combine_chunks()
+                    .to_batches()
+                )
+
+    def keep_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple] = {}
+        for batch in batches:
+            for name, at in _measures(batch):
+                mean, basis = (lookup(batch, name, int(at[0]), field) for field in ("mean", "basis"))
+                found = _Projection(batch.take(pa.array(at)), mean, basis)
+                error = found.errors[:, -1]
+                part = pa.Table.from_batches([found.rows.select([*ROW_KEYS, "values"])])
+                part = part.append_column("error", pa.array(error)).append_column("coeff", list_column(found.coeff))
+                part = part.filter(pa.array(~np.isnan(error)))
+                if not part.num_rows:
+                    continue
+                before = held[name][2] if name in held else {}
+                now = {}
+                for kind, order in kinds.items():
+                    few = ends(part, order)
+                    now[kind] = ends(pa.concat_tables([before[kind], few]), order) if before else few
+                held[name] = (mean, np.asarray(basis).ravel(), now)
+            if sum(t.nbytes for _, _, tables in held.values() for t in tables.values()) > OPEN_BYTES:
+                yield from flush(held)
+                held = {}
+        yield from flush(held)
+
+    few = rows.mapInArrow(keep_ends, EXTREMES)
+    key = F.when(F.col("kind") == "best", F.col("error")).otherwise(-F.col("error"))
+    order = Window.partitionBy("measurement", "kind").orderBy(key, F.asc_nulls_last("station"), F.asc_nulls_last("year"))
+    return few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
 
 
 def extreme_series(station_years: DataFrame, model: DataFrame, count: int = 2) -> DataFrame:
     """``measurement, kind, place, station, year, series, day, value``: original, mean and each
-    reconstruction of the best and worst rows, as long series.
-
-    The vectors of the few chosen rows are rebuilt after the choice, not carried through it.
-    """
-    model = materialise(model)
-    chosen = materialise(
-        extremes(reconstruct(station_years, model), count).select(
-            "station", "measurement", "year", "kind", "place"
-        )
-    )
-    keys = ["station", "measurement", "year"]
-    picked = join_small(station_years, chosen.select(*keys).distinct(), keys)
-    vectors = join_small(reconstruct(picked, model, keep_vectors=True), chosen, keys)
-    vectors = join_small(vectors, model, ["measurement"])
+    reconstruction of the best and worst rows, as long series."""
+    chosen = extremes(station_years, model, count)
     d = F.size("values")
     rebuilt = F.transform(
-        F.sequence(F.lit(0), F.size("mse") - 1),
+        F.sequence(F.lit(0), F.size("coeff") - 1),
         lambda j: F.struct(
             F.concat(F.lit("rank"), (j + 1).cast("string")).alias("series"),
             F.slice(F.col("rebuilt"), j * d + 1, d).alias("line"),
@@ -313,8 +365,27 @@ def extreme_series(station_years: DataFrame, model: DataFrame, count: int = 2) -
         F.struct(F.lit("original").alias("series"), F.col("values").alias("line")),
         F.struct(F.lit("mean").alias("series"), F.col("mean").alias("line")),
     )
-    lines = vectors.select(
+    lines = chosen.select(
         "measurement", "kind", "place", "station", "year", F.inline(F.concat(fixed, rebuilt))
     )
     points = lines.select("*", F.posexplode("line").alias("pos", "value"))
     return points.withColumn("day", F.col("pos") + 1).drop("line", "pos")
+
+
+def station_coefficients(projected: DataFrame, measures: Sequence[str], k: int = 3) -> DataFrame:
+    """``station, <measure>_coeff array<double>...``: each station's mean projections on the first ``k``
+    components of each measure, in one row; null where it has no complete vector of a measure.
+
+    One conditional aggregate of :func:`reconstruct`'s rows, combined in the tasks; no pivot by values.
+    """
+    cells = [
+        F.avg(F.when(F.col("measurement") == m, F.get("coeff", F.lit(i)))).alias(f"_{n}_{i}")
+        for n, m in enumerate(measures)
+        for i in range(k)
+    ]
+    wide = projected.groupBy("station").agg(*cells)
+    arrays = []
+    for n, m in enumerate(measures):
+        parts = [F.col(f"_{n}_{i}") for i in range(k)]
+        arrays.append(F.when(parts[0].isNotNull(), F.array(*parts)).alias(f"{m}_coeff"))
+    return wide.select("station", *arrays)

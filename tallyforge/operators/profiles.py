@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyforge.joins import join_small
+from tallyforge.functions.order import with_ordered_bits
+from tallyforge.joins import join_small, table_bytes
 from tallyforge.session import materialise
+from tallyforge.sources.stations import days_of, of_equal_length
 
 # The tail percentiles of the statistics table, in parts per thousand.
 TAILS = {"low1000": 1, "low100": 10, "high100": 990, "high1000": 999}
@@ -27,24 +29,23 @@ def day_values(station_years: DataFrame, keys: Sequence[str] = ("measurement",))
 def day_profile(station_years: DataFrame, keys: Sequence[str] = ("measurement",)) -> DataFrame:
     """``keys..., day, mean, var, ne`` over the recorded values of each day.
 
-    Each task reduces its rows to one per (key, day) before the exchange.
+    Each task reduces its rows to one per (key, day) before the exchange.  Vectors of one key that
+    differ in length are a data error.
     """
-    days = day_values(station_years, keys)
-    return days.groupBy(*keys, "day").agg(
-        F.avg("value").alias("mean"),
-        F.var_pop("value").alias("var"),
-        F.count("value").alias("ne"),
-    )
+    value = F.when(_recorded("value"), F.col("value"))
+    profile = of_equal_length(
+        days_of(station_years, keys).groupBy(*keys, "day"),
+        F.avg(value).alias("mean"), F.var_pop(value).alias("var"), F.count(value).alias("ne"),
+    )
+    return profile.where(F.col("ne") > 0)
 
 
 def day_counts(station_years: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys..., day, rows, recorded, missing``: also days nobody recorded."""
-    rows = station_years.select(*keys, F.posexplode_outer("values").alias("pos", "value"))
-    rows = rows.where(F.col("pos").isNotNull())
-    present = F.count_if(_recorded("value"))
-    counts = rows.groupBy(*keys, (F.col("pos") + 1).alias("day")).agg(
-        F.count(F.lit(1)).alias("rows"), present.alias("recorded")
-    )
+    counts = of_equal_length(
+        days_of(station_years, keys).groupBy(*keys, "day"),
+        F.count(F.lit(1)).alias("rows"), F.count_if(_recorded("value")).alias("recorded"),
+    )
     return counts.withColumn("missing", F.col("rows") - F.col("recorded"))
 
 
@@ -56,78 +57,83 @@ def bands(profile: DataFrame) -> DataFrame:
     )
 
 
-def exact_percentiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    per_mille: dict[str, int],
-    accuracy: int = 10_000,
-    more: Sequence[Column] = (),
-) -> DataFrame:
-    """``keys..., n, <one column per name>``: smallest value whose share of values at or below
-    reaches the given parts per thousand, exact.  ``more`` are aggregates of ``value`` to take
-    along in the first pass.
-
-    No task ever holds all values of a key.  A sketch brackets each wanted rank; one more pass
-    counts the values under the bracket and keeps only the (value, count) pairs inside it, about
-    ``4 / accuracy`` of the rows; the rank is found among those.  A bracket that misses its rank
-    is widened, at last to everything.
+DIGIT = 16  # bits counted at a time
+DIGITS = 2**DIGIT
+
+
+def _chosen(counts: str, rank: str, before: str) -> str:
+    """SQL of where the ``rank``-th value lies in ordered ``counts`` (``digit, n, value``): its rank among the
+    values of that entry, the entry's digit put behind the digits ``before``, and its value."""
+    return f"""aggregate({counts},
+        struct({rank} AS rank, CAST(NULL AS BIGINT) AS prefix, CAST(NULL AS DOUBLE) AS value),
+        (so_far, e) -> CASE WHEN so_far.prefix IS NOT NULL THEN so_far
+            WHEN so_far.rank <= e.n THEN struct(so_far.rank AS rank, {before} * {DIGITS}L + e.digit AS prefix, e.value AS value)
+            ELSE struct(so_far.rank - e.n AS rank, so_far.prefix AS prefix, so_far.value AS value) END)"""
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, per_mille: dict[str, int]) -> DataFrame:
+    """``keys..., n, mean, std, <one column per name>``: of each key's recorded values their number,
+    moments, and for each name the smallest value whose share of values at or below reaches the given
+    parts per thousand, exact.  Null keys are a key like others.
+
+    Radix selection: a double becomes a long of the same order, whose 64 bits are counted 16 at a time.
+    The first pass counts the highest digit of all values, each later one the next digit of those values
+    that share their digits so far with a wanted rank, for all ranks and keys at once.  Counts are combined
+    in the tasks; a key has at most 65,536 of them per rank, however many or equal its values are.
     """
     keys, names = list(keys), list(per_mille)
-    values = df.select(*keys, F.col(value).cast("double").alias("value")).where(_recorded("value"))
-
-    def bracket(margin: float) -> DataFrame:
-        shares = [per_mille[name] / 1000 for name in names]
-        edges = [e for s in shares for e in (max(s - margin, 0.0), min(s + margin, 1.0))]
-        return values.groupBy(*keys).agg(
-            F.count("value").alias("n"),
-            F.percentile_approx("value", edges, accuracy).alias("edges"),
-            *more,
-        )
-
-    def ranks_in(brackets: DataFrame, everything: bool) -> DataFrame:
-        low, high = F.get("edges", F.col("which") * 2), F.get("edges", F.col("which") * 2 + 1)
-        wanted = F.array(*[F.lit(per_mille[name]).cast("long") for name in names])
-        each = brackets.select("*", F.posexplode(wanted).alias("which", "share"))
-        # smallest whole number not under n * share / 1000, at least 1
-        rank = F.greatest(F.expr("(n * share + 999) div 1000"), F.lit(1))
-        targets = each.select(*keys, "which", rank.alias("target"), low.alias("lo"), high.alias("hi"))
-        packed = targets.groupBy(*keys).agg(F.collect_list(F.struct("which", "lo", "hi")).alias("b"))
-        rows = join_small(values, materialise(packed), keys, salt_by=["value"])
-        rows = rows.select(*keys, "value", F.inline("b"))
-        if not everything:
-            rows = rows.where(F.col("value") <= F.col("hi"))
-            inside = F.when(F.col("value") >= F.col("lo"), F.col("value"))
-        else:
-            inside = F.col("value")
-        counted = rows.groupBy(*keys, "which", inside.alias("value")).agg(
-            F.count(F.lit(1)).alias("here")
-        )
-        upto = Window.partitionBy(*keys, "which").orderBy(F.asc_nulls_first("value"))
-        reached = counted.withColumn("reached", F.sum("here").over(upto))
-        reached = join_small(reached, materialise(targets), [*keys, "which"])
-        hit = F.min_by("value", "reached")
-        found = reached.where(F.col("reached") >= F.col("target")).groupBy(*keys, "which").agg(
-            hit.alias("value")
+    values = df.select(*keys, (F.col(value).cast("double") + 0.0).alias("value")).where(_recorded("value"))
+    values = with_ordered_bits(values, "value")
+    # No value is null here; said so, the optimiser does not repeat the whole expression in a null check.
+    bits = F.coalesce("bits", F.lit(0).cast("long"))
+    no_value = F.lit(None).cast("double").alias("value")
+
+    digits = values.groupBy(*keys, F.shiftright(bits, 64 - DIGIT).cast("long").alias("digit")).agg(
+        F.count(F.lit(1)).alias("n"), no_value, F.avg("value").alias("mean"), F.var_pop("value").alias("var")
+    )
+    entry = F.struct("digit", "n", "value", "mean", "var")
+    first = digits.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("h"), F.sum("n").alias("n"))
+
+    def added(of: str) -> str:
+        return f"aggregate(h, CAST(0 AS DOUBLE), (total, e) -> total + {of})"
+
+    def rank(name: str) -> str:
+        """Smallest whole number not under n * share / 1000, at least 1."""
+        return f"greatest((n * {int(per_mille[name])} + 999) div 1000, 1L)"
+
+    state = first.selectExpr("*", f"{added('e.n * e.mean')} / n AS mean")
+    state = state.selectExpr(
+        *[f"`{k}`" for k in keys], "n", "mean",
+        f"sqrt({added('e.n * (e.var + (e.mean - mean) * (e.mean - mean))')} / n) AS std",
+        f"array({', '.join(_chosen('h', rank(name), '0L') for name in names)}) AS wanted",
+    )
+
+    size = None
+    for shift in range(64 - 2 * DIGIT, -1, -DIGIT):
+        state = materialise(state)
+        # Rows of the same keys and as many ranks in every round.
+        size = table_bytes(state) if size is None else size
+        prefixes = state.select(*keys, F.expr("array_distinct(wanted.prefix)").alias("prefixes"))
+        rows = join_small(values, prefixes, keys, salt_by=["value"], null_safe=True, small_bytes=size)
+        so_far = F.shiftright(bits, shift + DIGIT).cast("long")
+        digit = F.shiftright(bits, shift).cast("long").bitwiseAND(F.lit(DIGITS - 1).cast("long"))
+        counted = (
+            rows.where(F.array_contains("prefixes", so_far))
+            .groupBy(*keys, so_far.alias("prefix"), digit.alias("digit"))
+            # All values of a last digit are the same number.
+            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value") if shift == 0 else no_value)
         )
-        return targets.select(*keys, "which").join(found, [*keys, "which"], "left")
+        listed = counted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("prefix", "digit", "n", "value"))).alias("h"))
+        both = join_small(listed, state, keys, null_safe=True, small_bytes=size)
 
-    for margin in (2 / accuracy, 100 / accuracy, 1.0):
-        brackets = materialise(bracket(margin))
-        found = materialise(ranks_in(brackets, everything=margin >= 1.0))
-        if found.where(F.col("value").isNull()).isEmpty():
-            break
-    columns = [F.max(F.when(F.col("which") == i, F.col("value"))).alias(n) for i, n in enumerate(names)]
-    return brackets.drop("edges").join(found.groupBy(*keys).agg(*columns), keys)
+        next_ = _chosen("filter(h, x -> x.prefix = w.prefix)", "w.rank", "w.prefix")
+        state = both.selectExpr(*[f"`{k}`" for k in keys], "n", "mean", "std", f"transform(wanted, w -> {next_}) AS wanted")
+    return state.select(*keys, "n", "mean", "std", *[F.expr(f"wanted[{i}].value").alias(n) for i, n in enumerate(names)])
 
 
-def measure_stats(
-    df: DataFrame, key: str = "measurement", value: str = "value", accuracy: int = 10_000
-) -> DataFrame:
+def measure_stats(df: DataFrame, key: str = "measurement", value: str = "value") -> DataFrame:
     """``key, n, mean, std`` and the four tail percentiles of each measure."""
-    moments = [F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")]
-    tails = exact_percentiles(df, [key], value, TAILS, accuracy, moments)
-    return tails.select(key, "n", "mean", "std", *TAILS)
+    return exact_percentiles(df, [key], value, TAILS)
 
 
 def histogram(
@@ -135,7 +141,8 @@ def histogram(
 ) -> DataFrame:
     """``key, bin, lo, n``: values from low100 to high100 inclusive in bins of ``width``."""
     limits = materialise(stats.select(key, "low100", "high100"))
-    rows = join_small(df.where(_recorded(value)).select(key, value), limits, [key], salt_by=[value])
+    recorded = df.where(_recorded(value)).select(key, value)
+    rows = join_small(recorded, limits, [key], salt_by=[value], null_safe=True)
     kept = rows.where(F.col(value).between(F.col("low100"), F.col("high100")))
     bin_ = F.floor((F.col(value) - F.col("low100")) / width).cast("int")
     counts = kept.groupBy(key, bin_.alias("bin"), "low100").agg(F.count(F.lit(1)).alias("n"))

@@ -116,6 +116,34 @@ def line_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vectors with the supplier as station: three measures, many vectors each."""
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select(
+        F.concat(F.lit("S"), "l_suppkey").alias("station"), F.col("l_returnflag").alias("measurement"),
+        F.col("l_linenumber").alias("year"), F.array(F.col("l_quantity"), F.col("l_extendedprice") / 1000).alias("values"),
+    )
+
+
+def station_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is known of a station beside its vectors."""
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), "s_suppkey").alias("station"), F.col("s_acctbal").cast("double").alias("balance"),
+        F.col("s_nationkey").cast("double").alias("nation"),
+    )
+
+
+def ragged_station_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station years of which one in fifty lost its last entry and one in seventy its vector."""
+    rows = vectors(spark, sf_dir)
+    values = F.when(F.col("vec_id") % 50 == 3, F.slice("values", 1, 63)).when(F.col("vec_id") % 70 != 5, F.col("values"))
+    return rows.select(
+        F.concat(F.lit("S"), F.col("vec_id") % STATIONS).alias("station"),
+        F.when(F.col("vec_id") % 3 == 0, "TMAX").when(F.col("vec_id") % 3 == 1, "TMIN").alias("measurement"),
+        F.col("label").alias("year"), values.alias("values"),
+    )
+
+
 def nested_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as nested records: the two halves of a vector as two measurements."""
     half = lambda name, start: F.struct(

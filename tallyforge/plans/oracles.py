@@ -11,7 +11,9 @@ from html.entities import name2codepoint
 from tallyforge.functions.draws import PRIME, cubic
 from tallyforge.functions.text import BLANKS, PUNCTUATION
 from tallyforge.plans.inputs import ENDINGS
-from tallyforge.plans.queries import K, MIN_USERS, RUNS, SEED, SPLIT_SEED
+from tallyforge.plans.queries import (
+    COEFFICIENTS, FLAGS, K, KEPT, MIN_USERS, RUNS, SEED, SPLIT_SEED, STATION_K, STATION_RUNS,
+)
 from tallyforge.sources.numeric import COVER_NAMES
 
 
@@ -285,6 +287,64 @@ LINE_EXTREMES = f"""{LINES},
     SELECT measurement, 'worst', CAST(high AS INTEGER), station, year, {rounded("mse")} FROM ranked WHERE high <= 2"""
 
 
+LINE_SERIES = f"""{LINES},
+    w AS (SELECT r.*, l.x, l.y, mx, my, v1, v2,
+        row_number() OVER (PARTITION BY measurement ORDER BY mse, r.station, r.year) AS low,
+        row_number() OVER (PARTITION BY measurement ORDER BY mse DESC, r.station, r.year) AS high
+        FROM r JOIN l USING (station, measurement, year) JOIN v USING (measurement) WHERE rank = 1),
+    chosen AS (SELECT *, 'best' AS kind, low AS place FROM w WHERE low <= 2
+        UNION ALL SELECT *, 'worst', high FROM w WHERE high <= 2),
+    lines AS (SELECT *, 'original' AS series, [x, y] AS line FROM chosen
+        UNION ALL SELECT *, 'mean', [mx, my] FROM chosen
+        UNION ALL SELECT *, 'rank1', [mx + coeff * v1, my + coeff * v2] FROM chosen)
+    SELECT measurement, kind, CAST(place AS INTEGER) AS place, station, year, series,
+        CAST(day AS INTEGER) AS day, {rounded("line[day]")} AS value
+    FROM lines CROSS JOIN (VALUES (1), (2)) AS t(day)"""
+STATION_CTES = f"""{LINES},
+    mean_ AS (SELECT 'S' || string_split(station, '-')[3] AS station, measurement, rank,
+        avg((x - mx) * v1 + (y - my) * v2) AS c FROM l JOIN v USING (measurement) GROUP BY ALL),
+    wide AS (SELECT station, {", ".join(
+        f"max(c) FILTER (WHERE measurement = '{flag}' AND rank = {i + 1}) AS {flag}_coeff{i + 1}"
+        for flag in FLAGS for i in range(KEPT)
+    )} FROM mean_ GROUP BY station)"""
+STATION_TABLE = f"""{STATION_CTES}
+    SELECT station, {", ".join(f"{rounded(c)} AS {c}" for c in COEFFICIENTS)} FROM wide"""
+
+
+def station_regression() -> str:
+    facts = ["balance", "nation"]
+    source = f"""{STATION_CTES}
+        SELECT wide.*, s_acctbal::DOUBLE AS balance, s_nationkey::DOUBLE AS nation
+        FROM wide JOIN supplier ON station = 'S' || s_suppkey
+        WHERE {" AND ".join(f"{c} IS NOT NULL" for c in [*COEFFICIENTS, "s_acctbal", "s_nationkey"])}"""
+    rows = " UNION ALL ".join(
+        f"""SELECT '{t}' AS target, {rounded(f"b_balance_{t}", 9)} AS b_balance, {rounded(f"b_nation_{t}")} AS b_nation,
+            {rounded(r2("train", [*facts, *COEFFICIENTS], facts, t))} AS r2_train,
+            {rounded(r2("test", [*facts, *COEFFICIENTS], facts, t))} AS r2_test
+            FROM train, test, solved_0 AS solved"""
+        for t in COEFFICIENTS
+    )
+    return regression(source, ("station",), facts, COEFFICIENTS) + " " + rows
+
+
+def ragged() -> str:
+    """Station years with cut and missing vectors."""
+    return """SELECT CASE vec_id % 3 WHEN 0 THEN 'TMAX' WHEN 1 THEN 'TMIN' END AS measurement,
+        CASE WHEN vec_id % 50 = 3 THEN embedding[1:63] WHEN vec_id % 70 <> 5 THEN embedding END AS v FROM embeddings"""
+
+
+CONTRACT = f"""
+    SELECT measurement, count(*) AS rows, count(*) FILTER (WHERE v IS NULL) AS null_vectors,
+        count(*) FILTER (WHERE len(v) <> 64) AS wrong_length, CAST(min(len(v)) AS INTEGER) AS shortest,
+        CAST(max(len(v)) AS INTEGER) AS longest
+    FROM ({ragged()}) GROUP BY 1"""
+SOUND_DAYS = f"""
+    SELECT measurement, CAST(day AS INTEGER) AS day, {rounded("avg(value)")} AS mean,
+        {rounded("var_pop(value)")} AS var, count(*) AS ne
+    FROM (SELECT measurement, unnest(v)::DOUBLE AS value, generate_subscripts(v, 1) AS day
+        FROM ({ragged()}) WHERE len(v) = 64) GROUP BY ALL"""
+
+
 def fixed_basis() -> str:
     def wave(j: int) -> str:
         return f"sqrt(2.0 / 64) * cos(pi() * (day - 0.5) * {j} / 64)"
@@ -468,16 +528,17 @@ def seeds() -> str:
     return "WITH " + ",\n".join(seed_chain()) + " SELECT * FROM picks"
 
 
-def assigned(centers: str) -> str:
+def assigned(centers: str, points: str = POINTS) -> str:
     """run, vec_id, k, d2 of the nearest centre, lowest k on ties."""
     return f"""
         SELECT run, vec_id, any_value(v) AS v, min(list_distance(v, c)) ** 2 AS d2,
             arg_min(k, {{'d': list_distance(v, c), 'k': k}}) AS k
-        FROM ({POINTS}) CROSS JOIN ({centers}) GROUP BY run, vec_id"""
+        FROM ({points}) CROSS JOIN ({centers}) GROUP BY run, vec_id"""
 
 
-# Rounds from the centres in c_0 until the largest shift of a run is 0.1 or less; none after that.
-ROUNDS = f"""rounds AS (
+def rounds_from(points: str) -> str:
+    """CTE of rounds from the centres in c_0 until a round's largest shift of a run is 0.1 or less; none after that."""
+    return f"""rounds AS (
     SELECT 0 AS step, run, k, c, 1e300::DOUBLE AS shift FROM c_0
     UNION ALL
     SELECT step + 1, run, k, c, max(shift) OVER () FROM (
@@ -487,9 +548,12 @@ ROUNDS = f"""rounds AS (
                 SELECT run, k, list(x ORDER BY dim) AS c FROM (
                     SELECT run, k, dim, avg(x) AS x FROM (
                         SELECT run, k, unnest(v) AS x, generate_subscripts(v, 1) AS dim
-                        FROM ({assigned("SELECT run, k, c FROM rounds WHERE shift > 0.1")}))
+                        FROM ({assigned("SELECT run, k, c FROM rounds WHERE shift > 0.1", points)}))
                     GROUP BY ALL) GROUP BY ALL) n USING (run, k)
             WHERE r.shift > 0.1)))"""
+
+
+ROUNDS = rounds_from(POINTS)
 LAST = "SELECT run, k, c FROM rounds WHERE step = (SELECT max(step) FROM rounds)"
 
 
@@ -515,6 +579,28 @@ def whole_clustering() -> str:
         JOIN costs USING (run)"""
 
 
+def best_run(ctes: str, points: str) -> str:
+    """Centres of the run of lowest cost after the rounds from the centres in c_0."""
+    return f"""{ctes}, {rounds_from(points)},
+        ended AS MATERIALIZED ({LAST}),
+        costs AS (SELECT run, sum(d2) AS cost FROM ({assigned("SELECT run, k, c FROM ended", points)}) GROUP BY 1),
+        best AS (SELECT run, cost FROM costs ORDER BY cost, run LIMIT 1)
+        SELECT CAST(run AS INTEGER) AS run, CAST(k AS INTEGER) AS k, CAST(dim AS INTEGER) AS dim,
+            {rounded("x")} AS value, {rounded("cost", 4)} AS cost
+        FROM (SELECT run, k, unnest(c) AS x, generate_subscripts(c, 1) AS dim FROM ended) JOIN best USING (run)"""
+
+
+def station_clusters() -> str:
+    points = "SELECT vec_id, v FROM station_points"
+    ctes = f"""{STATION_CTES.replace("WITH", "WITH RECURSIVE", 1)},
+        station_points AS MATERIALIZED (SELECT station AS vec_id, [{", ".join(COEFFICIENTS)}] AS v,
+            row_number() OVER (ORDER BY station) - 1 AS nr FROM wide
+            WHERE {" AND ".join(f"{c} IS NOT NULL" for c in COEFFICIENTS)}),
+        c_0 AS (SELECT nr // {STATION_K} AS run, nr % {STATION_K} AS k, v AS c FROM station_points
+            WHERE nr < {STATION_RUNS * STATION_K})"""
+    return best_run(ctes, points)
+
+
 def stump(model: str) -> str:
     """Errors of the single split with the least impurity, which is the same by Gini and by variance."""
     values = "[l_quantity, l_discount, l_tax]"
@@ -586,6 +672,13 @@ ORACLES: dict[str, str] = {
     "components_lines": LINE_COMPONENTS,
     "reconstruction_lines": LINE_ERRORS,
     "extremes_lines": LINE_EXTREMES,
+    "extremes_lines_series": LINE_SERIES,
+    "station_coefficients": STATION_TABLE,
+    "station_regression": station_regression(),
+    "station_clusters": station_clusters(),
+    "kmeans_best_centers": best_run(f"WITH RECURSIVE c_0 AS ({FIXED})", POINTS),
+    "vector_contract": CONTRACT,
+    "profile_sound_days": SOUND_DAYS,
     "reconstruction_fixed_basis": fixed_basis(),
     "regression_2f": two_features(),
     "regression_sensitivity": sensitivity(),

@@ -21,6 +21,7 @@ from tallyforge.operators import (
     trees,
 )
 from tallyforge.plans import inputs
+from tallyforge.session import materialise
 from tallyforge.sources import messages, numeric, stations, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,12 +215,25 @@ def nested_flatten(spark, sf_dir):
 
 def derived_measures(spark, sf_dir):
     rows = inputs.station_years(spark, sf_dir)
-    average = stations.combine_measures(rows, "TMAX", "TMIN", "TAVG", "mean")
-    spread = stations.combine_measures(rows, "TMAX", "TMIN", "TRANGE", "range")
-    days = profiles.day_values(average.unionByName(spread), ["station", "measurement", "year"])
+    derived = stations.derive_measures(
+        rows, [("TAVG", "TMAX", "TMIN", "mean"), ("TRANGE", "TMAX", "TMIN", "range")]
+    )
+    days = profiles.day_values(derived, ["station", "measurement", "year"])
     return days.select("station", "measurement", "year", "day", rounded("value").alias("value"))
 
 
+def vector_contract(spark, sf_dir):
+    """Null vectors and vectors of a wrong length, per measure."""
+    return stations.length_report(inputs.ragged_station_years(spark, sf_dir), 64)
+
+
+def profile_sound_days(spark, sf_dir):
+    """Day statistics of the vectors that keep the contract; the others are set aside."""
+    rows = stations.keep_length(inputs.ragged_station_years(spark, sf_dir), 64)
+    profile = profiles.day_profile(rows)
+    return profile.select("measurement", "day", rounded("mean").alias("mean"), rounded("var").alias("var"), "ne")
+
+
 def station_selection(spark, sf_dir):
     rows = inputs.station_years(spark, sf_dir)
     chosen = rows.where(
@@ -297,11 +311,69 @@ def reconstruction_lines(spark, sf_dir):
 def extremes_lines(spark, sf_dir):
     """The two best and two worst rebuilt order lines per return flag."""
     rows = inputs.line_vectors(spark, sf_dir)
-    errors = components.reconstruct(rows, components.fit_basis(rows, k=1))
-    chosen = components.extremes(errors)
+    chosen = components.extremes(rows, components.fit_basis(rows, k=1))
     return chosen.select("measurement", "kind", "place", "station", "year", rounded("error").alias("error"))
 
 
+def extremes_lines_series(spark, sf_dir):
+    """The vectors of those lines: as they are, their mean, and rebuilt."""
+    rows = inputs.line_vectors(spark, sf_dir)
+    series = components.extreme_series(rows, components.fit_basis(rows, k=1))
+    return series.select(
+        "measurement", "kind", "place", "station", "year", "series", "day", rounded("value").alias("value")
+    )
+
+
+# Measures, kept components and the columns they make in a table of one row per station.
+FLAGS, KEPT = ("A", "N", "R"), 2
+COEFFICIENTS = [f"{flag}_coeff{i + 1}" for flag in FLAGS for i in range(KEPT)]
+
+
+def _station_table(spark, sf_dir):
+    """``station, A_coeff, N_coeff, R_coeff``: mean coefficients of a supplier's order lines."""
+    rows = inputs.station_lines(spark, sf_dir)
+    projected = components.reconstruct(rows, components.fit_basis(rows, k=KEPT))
+    return components.station_coefficients(projected, FLAGS, KEPT)
+
+
+def _split_table(table):
+    for flag in FLAGS:
+        table = stations.split_columns(table, f"{flag}_coeff", KEPT)
+    return table
+
+
+def station_coefficients(spark, sf_dir):
+    return _split_table(_station_table(spark, sf_dir)).select("station", *[rounded(c).alias(c) for c in COEFFICIENTS])
+
+
+def station_regression(spark, sf_dir):
+    """Each coefficient of a station from what else is known of it."""
+    table = _split_table(_station_table(spark, sf_dir)).join(inputs.station_facts(spark, sf_dir), "station").na.drop()
+    split = sampling.hash_split(table, ["station"], [("train", 0.5), ("test", 0.5)], SPLIT_SEED)
+    report = regression.sensitivity(split, ["balance", "nation"], COEFFICIENTS)
+    slope = F.col("coefficients")
+    return report.where(F.col("removed").isNull()).select(
+        "target", rounded(slope["balance"], 9).alias("b_balance"), rounded(slope["nation"]).alias("b_nation"),
+        rounded("r2_train").alias("r2_train"), rounded("r2_test").alias("r2_test"),
+    )
+
+
+STATION_K, STATION_RUNS = 2, 3
+
+
+def station_clusters(spark, sf_dir):
+    """Clusters of stations by their coefficients: the centres of the best run."""
+    table = _station_table(spark, sf_dir).na.drop()
+    points = materialise(clustering.points_of(table, "station", *[f"{flag}_coeff" for flag in FLAGS]))
+    first = points.orderBy("id").limit(STATION_RUNS * STATION_K).collect()
+    start = np.array([row["v"] for row in first]).reshape(STATION_RUNS, STATION_K, -1)
+    best = clustering.best_centers(points, clustering.lloyd(points, start))
+    rows = best.select("run", "k", "cost", F.posexplode("center").alias("pos", "value"))
+    return rows.select(
+        "run", "k", (F.col("pos") + 1).alias("dim"), rounded("value").alias("value"), rounded("cost", 4).alias("cost")
+    )
+
+
 def reconstruction_fixed_basis(spark, sf_dir):
     """Projection on the day means and three cosine waves: the whole reconstruction, with a basis
     that SQL can write down."""
@@ -426,6 +498,15 @@ def kmeans_assignment(spark, sf_dir):
     return assigned.select("id", F.array_join("assigned", ",").alias("assigned"))
 
 
+def kmeans_best_centers(spark, sf_dir):
+    points = inputs.points(spark, sf_dir)
+    best = clustering.best_centers(points, clustering.lloyd(points, fixed_centers(spark, sf_dir)))
+    rows = best.select("run", "k", "cost", F.posexplode("center").alias("pos", "value"))
+    return rows.select(
+        "run", "k", (F.col("pos") + 1).alias("dim"), rounded("value").alias("value"), rounded("cost", 4).alias("cost")
+    )
+
+
 def kmeans_entropy(spark, sf_dir):
     assigned = clustering.assign(inputs.points(spark, sf_dir), fixed_centers(spark, sf_dir))
     entropy = clustering.joint_entropy(assigned, RUNS)
@@ -504,13 +585,14 @@ QUERIES: dict[str, Query] = {
             class_distribution, class_distribution_named, hash_sample_split,
             class_distribution_test_set,
             profile_day_stats, profile_band, profile_missing_days, profile_scalars,
-            profile_histogram, nested_flatten, derived_measures, station_selection,
+            profile_histogram, nested_flatten, derived_measures, station_selection, vector_contract, profile_sound_days,
             covariance_matrix, eigen_invariants, full_rank_identity, explained_variance, eigenvectors_top3,
-            components_lines, reconstruction_lines, extremes_lines,
+            components_lines, reconstruction_lines, extremes_lines, extremes_lines_series,
+            station_coefficients, station_regression, station_clusters,
             reconstruction_fixed_basis, reconstruction_error, reconstruction_extremes,
             regression_2f, regression_sensitivity, regression_coefficients, regression_predictions,
             kmeans_seed_d2, kmeans_lloyd_steps, kmeans_cost_by_run, kmeans_cost_summary,
-            kmeans_assignment, kmeans_entropy, kmeans_full,
+            kmeans_assignment, kmeans_entropy, kmeans_best_centers, kmeans_full,
             tree_stump_errors, forest_stump_errors, gbt_depth_sweep, rf_depth_sweep, model_compare,
         )
     },
