@@ -31,14 +31,17 @@ KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?+[0-9])++",
+    # A run is whole from its first digit; fewer than 13 digits can be no card.
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # A text without this cannot hold the kind.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-# Tighter forms, tried everywhere; they only add spans, where the classifier accepts them.
+# Tighter forms, tried inside runs that the base patterns take whole and their check turns down (for an IP,
+# past the start of a dotted run); they only add spans, where the classifier accepts them.
 TIGHT = {
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])",
+    "ip": r"(?<=[0-9]\.)(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.(?!$)|(?![0-9.]))){4}(?<=[0-9])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z])",
     "phone": r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])",
 }
 TOP_DOMAINS = "com org net edu gov info io de fr es uk eu us ch at it nl".split()
@@ -51,7 +54,8 @@ CUES = {
 COUNTER_CUES = "version release build isbn issn sha md5 token key hash id order invoice section chapter"
 LABELERS = ("pattern", "check", "gazetteer", "cue", "surroundings")
 CONTEXT = 24
-ROUNDS = 200
+# Code points of a piece of text in which a match's surroundings are looked up; no less than CONTEXT.
+PIECE = 512
 SETTLED = 1e-9
 THRESHOLD = 0.5
 # Characters handled at once where positions are summed up: linear time for any number of matches.
@@ -154,16 +158,29 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0).cast("tinyint")
 
 
-def _votes(kind: str, text: Column, span: Column, base: bool) -> Column:
+def _before(pieces: Column, place: Column, count: int) -> Column:
+    """Up to ``count`` (at most PIECE) code points before ``place`` in a text cut into ``pieces``.
+
+    A substring of a long text is found by walking from its start; in two pieces the walk is short, so
+    the time for all matches is proportional to the text.
+    """
+    at = F.floor(place / PIECE).cast("int")
+    near = F.concat(F.coalesce(F.get(pieces, at - 1), F.lit("")), F.coalesce(F.get(pieces, at), F.lit("")))
+    upto = (place - F.greatest(at - 1, F.lit(0)) * PIECE).cast("int")
+    return F.substring(near, F.greatest(upto - count + 1, F.lit(1)), F.least(upto, F.lit(count)))
+
+
+def _after(pieces: Column, place: Column) -> Column:
+    """The code point at ``place``; nothing at the text's end."""
+    piece = F.coalesce(F.get(pieces, F.floor(place / PIECE).cast("int")), F.lit(""))
+    return F.substring(piece, (place % PIECE + 1).cast("int"), F.lit(1))
+
+
+def _votes(kind: str, pieces: Column, span: Column, base: bool) -> Column:
     """Votes of the labelers and the number of digits (at most 20), as a struct."""
     match = span["match"]
-    before = F.lower(
-        F.substring(text, F.greatest(span["start"] - CONTEXT + 1, F.lit(1)), F.least(span["start"], F.lit(CONTEXT)))
-    )
-    neighbours = F.concat(
-        F.when(span["start"] > 0, F.substring(text, span["start"], F.lit(1))).otherwise(""),
-        F.substring(text, span["end"] + 1, F.lit(1)),
-    )
+    before = F.lower(_before(pieces, span["start"], CONTEXT))
+    neighbours = F.concat(_before(pieces, span["start"], 1), _after(pieces, span["end"]))
     ok = _checked(kind)(match)
     if kind == "email":
         known = F.lower(F.substring_index(match, ".", -1)).isin(TOP_DOMAINS)
@@ -196,21 +213,56 @@ _SPAN = "struct<kind:int,start:long,end:long,base:boolean,votes:struct<" + ",".j
 def candidates(text: Column) -> Column:
     """Candidate spans of a text: ``kind`` (its number), ``start, end, base, votes``; ``base`` marks base spans."""
 
-    def of(kind: str, pattern: str, needs: str | None, is_base: bool) -> Column:
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def voted(kind: str, found: Column, cut: Column, is_base: bool) -> Column:
         return F.transform(
-            matches(text, pattern, needs),
+            found,
             lambda s: F.struct(
                 F.lit(KINDS.index(kind)).alias("kind"),
                 s["start"].alias("start"),
                 s["end"].alias("end"),
                 (_checked(kind)(s["match"]) & F.lit(is_base)).alias("base"),
-                _votes(kind, text, s, is_base).alias("votes"),
+                _votes(kind, cut, s, is_base).alias("votes"),
             ).cast(_SPAN),
         )
 
-    every = [of(kind, PATTERNS[kind], NEEDS[kind], True) for kind in KINDS]
-    every += [of(kind, pattern, NEEDS[kind], False) for kind, pattern in TIGHT.items()]
-    return F.concat(*every)
+    def inside(kind: str, found: Column, cut: Column) -> Column:
+        """Tight matches in each turned-down run, seen with the code point on either side."""
+
+        def of_run(run: Column) -> Column:
+            left, right = _before(cut, run["start"], 1), _after(cut, run["end"])
+            seen = matches(F.concat(left, run["match"], right), TIGHT[kind], NEEDS[kind])
+            offset = run["start"] - F.length(left)
+            return F.transform(
+                seen,
+                lambda s: F.struct(
+                    (s["start"] + offset).alias("start"), (s["end"] + offset).alias("end"), s["match"].alias("match")
+                ),
+            )
+
+        return F.flatten(F.transform(F.filter(found, lambda s: ~_checked(kind)(s["match"])), of_run))
+
+    def of(kind: str) -> Column:
+        def judged(found: Column) -> Column:
+            def in_pieces(cut: Column) -> Column:
+                parts = [voted(kind, found, cut, True)]
+                if kind in ("card", "phone"):
+                    parts.append(let(inside(kind, found, cut), lambda more: voted(kind, more, cut, False)))
+                elif kind in TIGHT:
+                    more = F.when(F.size(found) > 0, matches(text, TIGHT[kind], NEEDS[kind])).otherwise(
+                        F.array().cast("array<struct<start:long,end:long,match:string>>")
+                    )
+                    parts.append(let(more, lambda m: voted(kind, m, cut, False)))
+                return F.concat(*parts)
+
+            # The text is cut only where something is found.
+            none = F.array().cast("array<string>")
+            return let(F.when(F.size(found) > 0, pieces).otherwise(none), in_pieces)
+
+        return let(matches(text, PATTERNS[kind], NEEDS[kind]), judged)
+
+    return F.concat(*[of(kind) for kind in KINDS])
 
 
 @dataclass
@@ -244,10 +296,11 @@ def _features(span: Column) -> list[Column]:
 
 def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]]) -> tuple[list[float], list[float]]:
     """Expectation-maximisation over ``(kind, votes, count)``: each labeler's share of right votes and
-    each kind's share of true candidates.  Ends when no estimate moves any more, or after ``ROUNDS``.
+    each kind's share of true candidates.  Ends when no estimate moves any more: every round raises the
+    likelihood, by less and less.
     """
     right, prior = [0.7] * len(LABELERS), [0.5] * len(KINDS)
-    for _ in range(ROUNDS):
+    while True:
         agree, cast = [1.0] * len(LABELERS), [1.5] * len(LABELERS)
         true, all_ = [1.0] * len(KINDS), [2.0] * len(KINDS)
         for kind, votes, count in patterns:
@@ -264,8 +317,7 @@ def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]]) -> tuple[lis
         change = max(abs(x - y) for x, y in zip(moved + shares, right + prior, strict=True))
         right, prior = moved, shares
         if change < SETTLED:
-            break
-    return right, prior
+            return right, prior
 
 
 def posterior(right: list[float], prior: list[float], kind: int, votes: tuple[int, ...]) -> float:

@@ -32,9 +32,10 @@ WORDY = 0.8
 TRAINING_ROWS = 10_000
 TREES, DEPTH, SEED = 24, 6, 17
 # A word is in the dictionary if this share of all texts hold it; so its size is at most the mean
-# number of different words of a text divided by this share, whatever the number of texts.
+# number of different words of a text divided by this share, whatever the number of texts.  Runs of
+# letters longer than a word ever is are no words; candidates are described whole at any length.
 DICTIONARY_SHARE = 0.002
-SHORTEST_WORD = 3
+SHORTEST_WORD, LONGEST_WORD = 3, 24
 
 _NAME = re.compile(rf"(?:{'|'.join(SECRET_WORDS)})[a-z0-9_]*", re.IGNORECASE)
 # In quotes to their end on the same line, escapes included; else up to a space or quote.
@@ -68,7 +69,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts += 1
             classes = _CLASS[np.frombuffer(text.encode(), dtype=np.uint8)]
             pairs += np.bincount(classes[:-1] * CLASSES + classes[1:], minlength=CLASSES * CLASSES)
-            words.update({w for w in re.findall(r"[a-z]+", text.lower()) if len(w) >= SHORTEST_WORD})
+            words.update({w for w in re.findall(r"[a-z]+", text.lower()) if SHORTEST_WORD <= len(w) <= LONGEST_WORD})
         held = np.nonzero(pairs)[0]
         keys = [*map(str, held), *words, ""]
         kinds = [0] * len(held) + [1] * len(words) + [2]
@@ -98,10 +99,13 @@ def corpus_statistics(docs: DataFrame, text: str = "text") -> tuple[np.ndarray,
 
 
 def covered(word: str, dictionary: set[str], longest: int) -> float:
-    """Share of the characters that dictionary words cover, longest first from the left."""
+    """Share of the characters that dictionary words cover, longest first from the left.
+
+    Dictionary words have at most ``LONGEST_WORD`` letters, so the time is proportional to ``word``.
+    """
     low, at, held = word.lower(), 0, 0
     while at < len(low):
-        for size in range(min(longest, len(low) - at), SHORTEST_WORD - 1, -1):
+        for size in range(min(longest, LONGEST_WORD, len(low) - at), SHORTEST_WORD - 1, -1):
             if low[at : at + size] in dictionary:
                 held += size
                 at += size

@@ -1,5 +1,7 @@
 """Awkward rows, empty tables and clashing columns through every operator, against plain versions."""
 
+import time
+
 import pytest
 from plain import (
     DOCUMENTS, awkward, base_spans, host_and_path, near_duplicates, quality as plain_quality, rule, sha256, span_text, text_of,
@@ -204,6 +206,51 @@ def test_pii_positions_of_many_matches(spark):
     assert report.base_sha256 == sha256(span_text(base_spans(text))) and report.n_email == 700
 
 
+def test_very_long_candidates_and_tables_of_numbers(spark):
+    """Time in proportion to the text: a long run beside a long word, and megabytes of numbers and of cards."""
+    started = time.perf_counter()
+    word = "abcdefgh" * 1000
+    table = spark.createDataFrame([(1, f"{word} token = \"{'Zk8Qw3Xv' * 1000}\""), (2, word)], "doc_id long, text string")
+    assert {r.length for r in secrets.scan(table, path=None).collect()} >= {8000}
+    assert time.perf_counter() - started < 30
+    for text, count in (("12 34.56 7890 " * 75_000, 0), ("4539578763621486, " * 10_000, 10_000)):
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        started = time.perf_counter()
+        got = pii.report(docs).first()
+        assert got.n_card == count and time.perf_counter() - started < 40
+
+
+def plain_context(text, start, end):
+    return text[max(0, start - pii.CONTEXT) : start].lower(), text[start - 1 : start] + text[end : end + 1]
+
+
+def test_context_in_pieces(spark):
+    """Surroundings near the borders of pieces, at both ends of a text, with code points beyond the basic plane."""
+    text = "".join(f"🙂{'x' * (i % 7)} card {i % 10} \t" for i in range(300)) + "end"
+    places = [0, 1, 5, pii.CONTEXT, pii.PIECE - 1, pii.PIECE, pii.PIECE + 1, 2 * pii.PIECE, 3 * pii.PIECE + 2, len(text)]
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{pii.PIECE}}}"), F.lit(0))
+    df = spark.createDataFrame([(text, p) for p in places], "text string, p long")
+    got = df.select("p", pii._before(pieces, F.col("p"), pii.CONTEXT).alias("b")).collect()
+    assert {r.p: r.b for r in got} == {p: text[max(0, p - pii.CONTEXT) : p] for p in places}
+
+
+@pytest.mark.parametrize(
+    ("text", "span"),
+    [
+        ("credit card 3782 822463 10005 12345", "card:12:29"),
+        ("card 4539578763621486-9999", "card:5:21"),
+        ("server address 999.10.0.0.1 here", "ip:19:27"),
+        ("server address 1.2.3.4 here", "ip:15:22"),
+        ("version 999.999.999.999", None),
+    ],
+)
+def test_spans_inside_swallowed_runs(spark, text, span):
+    """Other groupings, and addresses inside runs that fail their check, are candidates with the right place."""
+    found = spark.createDataFrame([(text,)], "text string").select(F.explode(pii.candidates(F.col("text"))).alias("s")).collect()
+    passed = {f"{pii.KINDS[r.s.kind]}:{r.s.start}:{r.s.end}" for r in found if r.s.votes.check > 0}
+    assert (span in passed) if span else not passed
+
+
 def test_pii_redaction(docs):
     clean = pii.redact(clashing(docs, ["row", "found", "cleaned"]))
     assert clean.columns == [*docs.columns, "row", "found", "cleaned"]
