@@ -14,10 +14,12 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tallyforge.joins import join_small, table_bytes
 from tallyforge.session import ensure_checkpoint_dir
 
 GBT_DEPTHS = (1, 3, 6, 10)
@@ -32,16 +34,18 @@ def labelled(df: DataFrame, label: str, features: Sequence[str], keep: Sequence[
     return rows.select(F.col(label).cast("double").alias("label"), "features", *keep)
 
 
-def with_categories(train: DataFrame, others: Sequence[DataFrame] = (), max_categories: int = 2):
-    """The same tables with features of few distinct values marked as categories."""
-    indexer = VectorIndexer(
-        inputCol="features", outputCol="_indexed", maxCategories=max_categories, handleInvalid="keep"
-    ).fit(train)
+def nominal(df: DataFrame, column: str, values: Sequence, name: str | None = None) -> DataFrame:
+    """Adds ``name`` (default ``<column>_index``): the place of the value in ``values``, marked as a category.
 
-    def apply(df: DataFrame) -> DataFrame:
-        return indexer.transform(df).drop("features").withColumnRenamed("_indexed", "features")
-
-    return [apply(df) for df in (train, *others)]
+    The mark is column metadata, which :func:`labelled` hands on to the learners: no pass over the data to
+    learn the categories, and the same numbers in every table.  A value that is not listed is a data error.
+    """
+    name = name or f"{column}_index"
+    marked = {"ml_attr": {"type": "nominal", "name": name, "vals": [str(v) for v in values]}}
+    place = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
+    unknown = F.raise_error(F.concat(F.lit(f"no category of {column}: "), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+    index = F.when(F.coalesce(place, F.lit(0)) > 0, (place - 1).cast("double")).otherwise(unknown.cast("double"))
+    return df.withColumn(name, index).withMetadata(name, marked)
 
 
 def gbt(depth: int, iterations: int = 10, rate: float = 0.1, bins: int = 32, seed: int = 255) -> GBTClassifier:
@@ -150,6 +154,59 @@ def load_forest(path: str) -> RandomForestClassificationModel:
     return RandomForestClassificationModel.load(path)
 
 
+def saved_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The trees of a model saved by :func:`save_model`, one row per node: ``tree, weight, node, feature,
+    threshold, categories, left, right, gain, prediction, stats, n``.
+
+    A row goes left if its feature is at most the threshold, or in the categories.  Leaves have no
+    feature; ``stats`` are a node's class counts (forests) or label sums (boosted trees).
+    """
+    inner = F.col("d.leftChild") >= 0
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", F.col("nodeData").alias("d"))
+    # Tree, its metadata and its weight; named differently by different versions.
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "metadata", "weight").drop("metadata")
+    split, limits = F.col("d.split"), F.col("d.split.leftCategoriesOrThreshold")
+    continuous = split["numCategories"] < 0
+    return nodes.join(F.broadcast(weights), "treeID").select(  # a weight per tree
+        F.col("treeID").alias("tree"), "weight", F.col("d.id").alias("node"),
+        F.when(inner, split["featureIndex"]).alias("feature"),
+        F.when(inner & continuous, F.get(limits, F.lit(0))).alias("threshold"),
+        F.when(inner & ~continuous, limits).alias("categories"),
+        F.when(inner, F.col("d.leftChild")).alias("left"), F.when(inner, F.col("d.rightChild")).alias("right"),
+        F.when(inner, F.col("d.gain")).alias("gain"), F.col("d.prediction").alias("prediction"),
+        F.col("d.impurityStats").alias("stats"), F.col("d.rawCount").alias("n"),
+    )
+
+
+def walk(df: DataFrame, nodes: DataFrame, keys: Sequence[str], depth: int, boosted: bool) -> DataFrame:
+    """``keys..., prediction`` by following the node table from the root, ``depth`` steps in every tree.
+
+    A step is a join to the nodes (broadcast while their measured size allows).  ``keys`` must name a row.
+    Boosted trees add up their weighted leaves, forests their leaves' class shares; a tie goes to the first class.
+    """
+    keys = list(keys)
+    size = table_bytes(nodes)
+    trees = [r["tree"] for r in nodes.where("node = 0").select("tree").orderBy("tree").collect()]  # a row per tree
+    at = df.select(*keys, vector_to_array("features").alias("x"), F.explode(F.array(*[F.lit(t) for t in trees])).alias("tree"))
+    at = at.withColumn("node", F.lit(0))
+    steps = nodes.select("tree", "node", "feature", "threshold", "categories", "left", "right")
+    for _ in range(depth):
+        here = join_small(at, steps, ["tree", "node"], salt_by=keys, small_bytes=size)
+        value = F.get("x", F.col("feature"))
+        left = F.when(F.col("threshold").isNotNull(), value <= F.col("threshold")).otherwise(F.array_contains("categories", value))
+        to = F.when(F.col("feature").isNull(), F.col("node")).when(left, F.col("left")).otherwise(F.col("right"))
+        at = here.select(*keys, "x", "tree", to.alias("node"))
+    leaves = join_small(at, nodes.select("tree", "node", "weight", "prediction", "stats"), ["tree", "node"], salt_by=keys, small_bytes=size)
+    if boosted:
+        total = F.sum(F.col("weight") * F.col("prediction"))
+        return leaves.groupBy(*keys).agg(F.when(total > 0, 1.0).otherwise(0.0).alias("prediction"))
+    counted = F.aggregate("stats", F.lit(0.0), lambda t, s: t + s)
+    shares = leaves.select(*keys, F.posexplode("stats").alias("class", "votes"), counted.alias("all"))
+    votes = shares.groupBy(*keys, "class").agg(F.sum(F.col("votes") / F.col("all")).alias("votes"))
+    first = F.max(F.struct("votes", (-F.col("class")).alias("class")))
+    return votes.groupBy(*keys).agg((-first["class"]).cast("double").alias("prediction"))
+
+
 def describe(model: Model) -> str:
     """The trees as text."""
     return model.toDebugString

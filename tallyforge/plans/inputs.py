@@ -75,7 +75,7 @@ def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_groups(posts: DataFrame) -> DataFrame:
     """Lookup by the last digit of the user: 0-6 a group, 7 and 8 an invalid one, 9 no entry."""
-    digit = F.col("user_id").cast("bigint") % 10
+    digit = F.right("user_id", F.lit(1)).cast("int")
     group = F.when(digit <= 6, digit).when(digit == 7, -1).cast("int")
     users = posts.select("user_id").distinct()
     return materialise(users.where(digit < 9).select("user_id", group.alias("group_id")))

@@ -12,7 +12,7 @@ from tallyforge.functions.draws import PRIME, cubic
 from tallyforge.functions.text import BLANKS, PUNCTUATION
 from tallyforge.plans.inputs import ENDINGS
 from tallyforge.plans.queries import (
-    COEFFICIENTS, FLAGS, K, KEPT, MIN_USERS, RUNS, SEED, SPLIT_SEED, STATION_K, STATION_RUNS,
+    CATEGORIES, COEFFICIENTS, FLAGS, K, KEPT, MIN_USERS, RUNS, SEED, SPLIT_SEED, STATION_K, STATION_RUNS,
 )
 from tallyforge.sources.numeric import COVER_NAMES
 
@@ -130,12 +130,21 @@ GROUP_COUNTS = f"""
     totals AS (SELECT token, sum(n_k)::BIGINT AS n_all FROM per_group GROUP BY 1)
     SELECT group_id, token, n_k, n_all FROM per_group JOIN totals USING (token)
     WHERE n_all >= {MIN_USERS}"""
-RELATIVE = f"""
+
+
+def relative(group_counts: str) -> str:
+    return f"""
     SELECT group_id, rank, token, {rounded("score", 4)} AS score FROM (
         SELECT *, CAST(row_number() OVER (PARTITION BY group_id ORDER BY score DESC, token) AS INTEGER) AS rank
-        FROM (SELECT *, log2(n_k / n_all) AS score FROM ({GROUP_COUNTS})))
+        FROM (SELECT *, log2(n_k / n_all) AS score FROM ({group_counts})))
     WHERE rank <= 10"""
 
+
+RELATIVE = relative(GROUP_COUNTS)
+# The same from the posts of the JSON lines, whose users are called u0, u1, ...
+LINE_MENTIONS = f"""SELECT DISTINCT user_id, token FROM ({token_rows(f"(SELECT user_id[2:] AS user_id, text FROM ({POSTS}))", "text", "user_id,")})"""
+MESSAGE_JOB = relative(GROUP_COUNTS.replace(MENTIONS, LINE_MENTIONS))
+
 # --- classes and splits ----------------------------------------------------------------------
 
 
@@ -620,6 +629,58 @@ def stump(model: str) -> str:
         FROM r, best GROUP BY set"""
 
 
+def best_cut(cells: str) -> str:
+    """Of each node the cut of least remaining variance of labels 1 and -1: node, f, t, gain, s, n."""
+    return f"""
+        SELECT node, f, t, s, n, 1 - (s / n) ** 2 - nl / n * (1 - (sl / nl) ** 2) - nr / n * (1 - (sr / nr) ** 2) AS gain
+        FROM (SELECT node, c.f, t, sum(s) AS s, sum(n) AS n, sum(s) FILTER (WHERE v <= t) AS sl, sum(n) FILTER (WHERE v <= t) AS nl,
+                sum(s) FILTER (WHERE v > t) AS sr, sum(n) FILTER (WHERE v > t) AS nr
+            FROM {cells} c JOIN cuts ON c.f = cuts.f GROUP BY node, c.f, t)
+        WHERE nl > 0 AND nr > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, t) = 1"""
+
+
+def nodes() -> str:
+    cells = """SELECT node, f, v, sum(y)::DOUBLE AS s, count(*) AS n FROM (
+            SELECT node, y, unnest([1, 2, 3]) AS f, unnest(x) AS v FROM {}) GROUP BY ALL"""
+    return f"""
+        WITH r AS MATERIALIZED (SELECT 0 AS node, CASE WHEN l_extendedprice > 40000 THEN 1 ELSE -1 END AS y,
+            [l_quantity, l_discount, l_tax] AS x FROM lineitem),
+        cuts AS (SELECT f, (v + above) / 2 AS t FROM (
+            SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS above FROM (
+                SELECT DISTINCT f, v FROM (SELECT unnest([1, 2, 3]) AS f, unnest(x) AS v FROM r))) WHERE above IS NOT NULL),
+        c1 AS ({cells.format("r")}), b1 AS MATERIALIZED ({best_cut("c1")}),
+        r2 AS MATERIALIZED (SELECT CASE WHEN x[f] <= t THEN 1 ELSE 4 END AS node, y, x FROM r, b1),
+        c2 AS ({cells.format("r2")}), b2 AS MATERIALIZED ({best_cut("c2")}),
+        r3 AS (SELECT node + CASE WHEN x[f] <= t THEN 1 ELSE 2 END AS node, y FROM r2 JOIN b2 USING (node)),
+        every AS (SELECT node, f - 1 AS feature, t, CASE node WHEN 0 THEN 1 ELSE node + 1 END AS l,
+                CASE node WHEN 0 THEN 4 ELSE node + 2 END AS r, gain, s / n AS p, n FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2)
+            UNION ALL SELECT node, NULL, NULL, NULL, NULL, NULL, avg(y), count(*) FROM r3 GROUP BY node)
+        SELECT 0 AS tree, CAST(node AS INTEGER) AS node, CAST(feature AS INTEGER) AS feature, {rounded("t")} AS threshold,
+            CAST(l AS INTEGER) AS "left", CAST(r AS INTEGER) AS "right", {rounded("gain", 9)} AS gain,
+            {rounded("p", 9)} AS prediction, CAST(n AS BIGINT) AS n FROM every"""
+
+
+def categorical_stump() -> str:
+    lists = {c: "[" + ", ".join(quoted(v) if isinstance(v, str) else str(v) for v in values) + "]" for c, values in CATEGORIES.items()}
+    places = ", ".join(
+        f"list_position({values}, {'month(l_shipdate)' if c == 'month' else c}) - 1" for c, values in lists.items()
+    )
+    return f"""
+        WITH r AS (SELECT {split_name(LINE_IDS, 0.7)} AS set, CAST(l_quantity > 25 AS INTEGER) AS y, [{places}] AS x FROM lineitem),
+        counts AS (SELECT f, v, sum(y) AS p, count(*) AS n FROM (
+            SELECT unnest([1, 2, 3]) AS f, unnest(x) AS v, y FROM r WHERE set = 'train') GROUP BY f, v),
+        below AS (SELECT f, v, row_number() OVER w AS pos, sum(p) OVER w AS pl, sum(n) OVER w AS nl,
+            sum(p) OVER (PARTITION BY f) AS p, sum(n) OVER (PARTITION BY f) AS n
+            FROM counts WINDOW w AS (PARTITION BY f ORDER BY p / n)),
+        best AS (SELECT f, pos, pl / nl > 0.5 AS low, (p - pl) / (n - nl) > 0.5 AS high FROM below WHERE nl < n
+            ORDER BY pl * (nl - pl) / nl + (p - pl) * (n - nl - p + pl) / (n - nl) LIMIT 1),
+        chosen AS (SELECT best.f, list(v) AS subset, any_value(low) AS low, any_value(high) AS high
+            FROM below JOIN best ON below.f = best.f AND below.pos <= best.pos GROUP BY best.f)
+        SELECT 'boosted' AS model, 1 AS depth, set, count(*) AS n,
+            {rounded("avg(CAST((CASE WHEN list_contains(subset, x[f]) THEN low ELSE high END) <> (y = 1) AS INTEGER))")} AS error
+        FROM r, chosen GROUP BY set"""
+
+
 COSTS = f"SELECT run, sum(d2) AS cost FROM ({assigned(FIXED)}) GROUP BY 1"
 ENTROPY = f"""
     WITH a AS MATERIALIZED (SELECT vec_id, list(k ORDER BY run) AS sig FROM ({assigned(FIXED)}) GROUP BY 1),
@@ -631,6 +692,9 @@ ENTROPY = f"""
 ORACLES: dict[str, str] = {
     "tree_stump_errors": stump("boosted"),
     "forest_stump_errors": stump("forest"),
+    "tree_categorical_errors": categorical_stump(),
+    "tree_nodes": nodes(),
+    "message_job_top10": MESSAGE_JOB,
     **{f"ngram_top5_n{n}": ngram_top5(n) for n in range(1, 6)},
     "ngram_top5_all": NGRAM_ALL,
     "ngram5_punct_deleted_top100": f"SELECT count, ngram FROM ({ngrams(5, True)}) ORDER BY count DESC, ngram LIMIT 100",

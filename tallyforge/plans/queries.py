@@ -21,7 +21,7 @@ from tallyforge.operators import (
     trees,
 )
 from tallyforge.plans import inputs
-from tallyforge.session import materialise
+from tallyforge.session import materialise, shared_folder
 from tallyforge.sources import messages, numeric, stations, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,14 @@ def token_relative_popularity_top10(spark, sf_dir):
     return top.withColumn("score", rounded("score", 4))
 
 
+def message_job_top10(spark, sf_dir):
+    """From raw JSON lines to the tokens relatively popular in each group of users."""
+    posts = messages.posts(inputs.message_lines(spark, sf_dir))
+    groups = inputs.user_groups(posts)
+    top = popularity.top_relative_tokens(popularity.user_tokens(posts), groups, MIN_USERS)
+    return top.withColumn("score", rounded("score", 4))
+
+
 # --- classes, samples, splits ----------------------------------------------------------------
 
 
@@ -555,6 +563,35 @@ def forest_stump_errors(spark, sf_dir):
     return _stump_errors(spark, sf_dir, "forest", lambda depth: trees.forest(depth, trees=1, bins=STUMP_BINS))
 
 
+# Categories of the features of tree_categorical_errors, in the order of their numbers.
+CATEGORIES = {"l_returnflag": ["A", "N", "R"], "l_linestatus": ["F", "O"], "month": list(range(1, 13))}
+
+
+def tree_categorical_errors(spark, sf_dir):
+    """One split over categories of order lines: the best subset is one of those ordered by mean."""
+    lines = inputs.table(spark, sf_dir, "lineitem").withColumn("month", F.month("l_shipdate"))
+    for column, values in CATEGORIES.items():
+        lines = trees.nominal(lines, column, values)
+    many = lines.withColumn("many", (F.col("l_quantity") > 25).cast("double"))
+    split = sampling.hash_split(many, ["l_orderkey", "l_linenumber", "l_partkey"], seed=SPLIT_SEED)
+    rows = trees.labelled(split, "many", [f"{c}_index" for c in CATEGORIES], ["set"])
+    sweep = trees.depth_sweep(rows, "boosted", lambda depth: trees.gbt(depth, iterations=1), (1,))
+    return sweep.select("model", "depth", "set", "n", rounded("error").alias("error"))
+
+
+def tree_nodes(spark, sf_dir):
+    """A two-level boosted tree over order lines, saved and read back as a table of nodes."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    dear = lines.withColumn("dear", (F.col("l_extendedprice") > STUMP_PRICE).cast("double"))
+    model = trees.gbt(2, iterations=1, bins=STUMP_BINS).fit(trees.labelled(dear, "dear", STUMP_FEATURES))
+    path = f"{shared_folder(spark)}/model"
+    trees.save_model(model, path)
+    return trees.saved_nodes(spark, path).select(
+        "tree", "node", "feature", rounded("threshold").alias("threshold"), "left", "right",
+        rounded("gain", 9).alias("gain"), rounded("prediction", 9).alias("prediction"), "n",
+    )
+
+
 def gbt_depth_sweep(spark, sf_dir):
     sweep = trees.depth_sweep(_tree_rows(spark, sf_dir), "gbt", trees.cover_gbt, trees.GBT_DEPTHS, parallelism=4)
     return sweep.drop("seconds")
@@ -581,7 +618,7 @@ QUERIES: dict[str, Query] = {
             json_valid_posts, json_distinct_users, posts_per_group, posts_right_outer,
             tokens_extract, tokens_rich, tokens_markup, entities_decoded, text_escaped,
             token_users_total, token_vocabulary, token_popular_top20, token_group_counts,
-            token_relative_popularity_top10,
+            token_relative_popularity_top10, message_job_top10,
             class_distribution, class_distribution_named, hash_sample_split,
             class_distribution_test_set,
             profile_day_stats, profile_band, profile_missing_days, profile_scalars,
@@ -593,7 +630,7 @@ QUERIES: dict[str, Query] = {
             regression_2f, regression_sensitivity, regression_coefficients, regression_predictions,
             kmeans_seed_d2, kmeans_lloyd_steps, kmeans_cost_by_run, kmeans_cost_summary,
             kmeans_assignment, kmeans_entropy, kmeans_best_centers, kmeans_full,
-            tree_stump_errors, forest_stump_errors, gbt_depth_sweep, rf_depth_sweep, model_compare,
+            tree_stump_errors, forest_stump_errors, tree_categorical_errors, tree_nodes, gbt_depth_sweep, rf_depth_sweep, model_compare,
         )
     },
 }

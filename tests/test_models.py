@@ -10,8 +10,11 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from tallyforge import joins
+
 from tallyforge.functions import draws
 from tallyforge.functions.vectors import matrix
+from tallyforge.session import shared_folder
 from tallyforge.operators import clustering, regression, sampling, trees
 from tallyforge.plans import inputs
 from tallyforge.plans.queries import _tree_rows
@@ -226,12 +229,39 @@ def test_error_rate_save_load_and_text(spark, tree_rows, tmp_path):
 
 
 def test_categories(spark):
-    df = spark.createDataFrame([(float(i % 2), float(i), i % 3 == 0) for i in range(60)], "flag double, x double, y boolean")
-    rows_ = trees.labelled(df.withColumn("y", F.col("y").cast("double")), "y", ["flag", "x"], ["flag"])
-    (marked,) = trees.with_categories(rows_)
-    attributes = marked.schema["features"].metadata["ml_attr"]["attrs"]
-    assert [a["name"] for a in attributes["binary"]] == ["flag"] and len(attributes["numeric"]) == 1
-    assert marked.columns.count("features") == 1
+    """Listed values become marked places, which the learner splits as categories; others are an error."""
+    data = [(i, "bad"[i % 3], float(i % 7), float(i % 3 == 1)) for i in range(90)]
+    df = trees.nominal(spark.createDataFrame(data, "id long, kind string, x double, y double"), "kind", list("abd"))
+    assert {(r.kind, r.kind_index) for r in df.collect()} == {("a", 0.0), ("b", 1.0), ("d", 2.0)}
+    model = trees.gbt(1, iterations=1).fit(trees.labelled(df, "y", ["x", "kind_index"]))
+    assert "feature 1 in {" in trees.describe(model) or "feature 1 not in {" in trees.describe(model)
+    assert trees.error_rates(model, trees.labelled(df.withColumn("set", F.lit("all")), "y", ["x", "kind_index"], ["set"])).first().error == 0
+    for values in (["a", "b"], ["a", "b", None]):
+        with pytest.raises(Exception, match="no category of kind"):
+            trees.nominal(df.drop("kind_index"), "kind", values).collect()
+
+
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
+def test_walked_predictions_are_the_model_s(spark, monkeypatch, limit):
+    """Saved through the shared folder, read as a table and walked: the model's own predictions, at every depth."""
+    monkeypatch.setattr(joins.join_small, "__defaults__", (*joins.join_small.__defaults__[:2], limit, *joins.join_small.__defaults__[3:]))
+    generator = np.random.default_rng(8)
+    data = [
+        (i, "pqrs"[int(k)], float(a), float(b), float((a + (k == 2) + generator.normal() * 0.4 > 0.5) ^ (b > 1)))
+        for i, (k, a, b) in enumerate(zip(generator.integers(0, 4, 300), generator.normal(size=300), generator.normal(size=300)))
+    ]
+    df = trees.nominal(spark.createDataFrame(data, "id long, kind string, a double, b double, y double"), "kind", list("pqrs"))
+    rows_ = trees.labelled(df, "y", ["a", "kind_index", "b"], ["id"]).cache()
+    for depth in (1, 3, 5) if limit > 0 else (2,):
+        for boosted, learner in ((True, trees.gbt(depth, iterations=3)), (False, trees.forest(depth, trees=3))):
+            model = learner.fit(rows_)
+            path = f"{shared_folder(spark)}/model"
+            trees.save_model(model, path)
+            nodes = trees.saved_nodes(spark, path)
+            assert nodes.count() == model.totalNumNodes
+            assert nodes.where("categories is not null").count() > 0 or depth == 1
+            walked = {r.id: r.prediction for r in trees.walk(rows_, nodes, ["id"], depth, boosted).collect()}
+            assert walked == {r.id: r.prediction for r in model.transform(rows_).collect()}
 
 
 def test_labelled_projection(spark, sf_dir):
