@@ -116,6 +116,16 @@ def line_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as lines of cells; by their numbers, one in a hundred each has a word for a number, an
+    empty cell, or one cell less."""
+    cells = [F.col(c).cast("string") for c in ("l_extendedprice", "l_discount", "l_tax")]
+    kind = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 100
+    first = F.when(kind == 0, "many").when(kind == 1, "").otherwise(F.col("l_quantity").cast("string"))
+    line = F.concat_ws(" , ", first, *cells[:2], F.when(kind != 2, cells[2]))
+    return table(spark, sf_dir, "lineitem").select(line.alias("value"))
+
+
 def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same vectors with the supplier as station: three measures, many vectors each."""
     lines = table(spark, sf_dir, "lineitem")

@@ -245,6 +245,17 @@ SELECTED = f"""
     WHERE measurement = 'TMAX' AND station = 'S7' AND year = 1901"""
 
 
+STORED = f"""
+    SELECT * FROM ({STATS}) WHERE measurement <> 'click'
+    UNION ALL SELECT * FROM ({STATS.replace("FROM events WHERE", "FROM (SELECT event_type, value * 2 AS value FROM events) WHERE")})
+    WHERE measurement = 'click'"""
+CSV_REPORT = f"""
+    SELECT CASE kind WHEN 0 THEN 'malformed' WHEN 2 THEN 'malformed' WHEN 1 THEN 'empty cell' ELSE 'sound' END AS reason,
+        count(*) AS n, count(*) FILTER (WHERE kind IN (0, 2)) AS records,
+        {rounded("sum(l_extendedprice) FILTER (WHERE kind > 2)", 2)} AS price
+    FROM (SELECT *, (l_orderkey * 7 + l_linenumber) % 100 AS kind FROM lineitem) GROUP BY 1"""
+
+
 def covariance(gaps: bool) -> str:
     return f"""
         SELECT a.measurement, a.day AS i, b.day AS j, count(*) AS n, covar_pop(a.value, b.value) AS cov
@@ -727,6 +738,12 @@ ORACLES: dict[str, str] = {
     "profile_missing_days": MISSING,
     "profile_scalars": STATS,
     "profile_histogram": HISTOGRAM,
+    "statistics_store": STORED,
+    "stored_band": BAND,
+    "stored_components": LINE_COMPONENTS,
+    "reader_paragraphs": "SELECT md5(text) AS digest, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1",
+    "reader_manifest": f"SELECT user_id, count(*) AS n FROM ({POSTS}) GROUP BY 1",
+    "reader_csv_report": CSV_REPORT,
     "nested_flatten": FLATTENED,
     "derived_measures": DERIVED,
     "station_selection": SELECTED,

@@ -22,7 +22,7 @@ from tallyforge.operators import (
 )
 from tallyforge.plans import inputs
 from tallyforge.session import materialise, shared_folder
-from tallyforge.sources import messages, numeric, stations, tables
+from tallyforge.sources import corpus, messages, numeric, stations, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,41 @@ def ngram_counts_n2(spark, sf_dir):
     return counts.select("ngram", "count")
 
 
+# --- readers: the given tables written as files of another kind, and read from there -----------
+
+
+def reader_paragraphs(spark, sf_dir):
+    """Documents as paragraphs of text files, each counted by its digest."""
+    path = f"{shared_folder(spark)}/paragraphs"
+    texts = inputs.table(spark, sf_dir, "documents").select("text").where(F.col("text").isNotNull())
+    texts.write.option("lineSep", corpus.PARAGRAPH_BREAK).text(path)
+    digests = corpus.read_paragraphs(spark, path).select(F.md5("value").alias("digest"))
+    return digests.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reader_manifest(spark, sf_dir):
+    """JSON lines in three folders named by a manifest: posts per user."""
+    folder = shared_folder(spark)
+    lines = inputs.message_lines(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
+    lines.write.partitionBy("part").text(f"{folder}/lines")
+    named = [(f"  {folder}/lines/part={part} ",) for part in range(3)] + [("",)]
+    spark.createDataFrame(named, "value string").coalesce(1).write.text(f"{folder}/manifest")
+    posts = messages.posts(corpus.read_lines(spark, corpus.read_manifest(spark, f"{folder}/manifest")))
+    return posts.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reader_csv_report(spark, sf_dir):
+    """Order lines as gzip CSV of which some have a bad, an empty or a missing cell: sound rows and reasons."""
+    names = ["quantity", "price", "discount", "tax"]
+    path = f"{shared_folder(spark)}/csv"
+    inputs.line_cells(spark, sf_dir).write.option("compression", "gzip").text(path)
+    table = numeric.read_checked_csv(spark, path, names)
+    sound = F.when(F.col("reason").isNull(), F.col("price"))
+    return table.groupBy(F.coalesce("reason", F.lit("sound")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("record").alias("records"), rounded(F.sum(sound), 2).alias("price")
+    )
+
+
 # --- messages and groups ---------------------------------------------------------------------
 
 
@@ -213,6 +248,25 @@ def profile_histogram(spark, sf_dir):
     return counts.withColumn("lo", rounded("lo"))
 
 
+def statistics_store(spark, sf_dir):
+    """Statistics written once and read for the histogram; then those of one measure are renewed."""
+    values = inputs.event_values(spark, sf_dir)
+    path = f"{shared_folder(spark)}/measure_stats"
+    tables.store_partitions(profiles.measure_stats(values), path, tables.MEASURE_STATS)
+    doubled = values.where("measurement = 'click'").withColumn("value", F.col("value") * 2)
+    tables.store_partitions(profiles.measure_stats(doubled), path, tables.MEASURE_STATS)
+    stats = tables.read_stored(spark, path, tables.MEASURE_STATS)
+    return stats.withColumn("mean", rounded("mean")).withColumn("std", rounded("std"))
+
+
+def stored_band(spark, sf_dir):
+    """Bands from a day profile in the store."""
+    path = f"{shared_folder(spark)}/day_profile"
+    tables.store_partitions(profiles.day_profile(inputs.station_years(spark, sf_dir)), path, tables.DAY_PROFILE)
+    band = profiles.bands(tables.read_stored(spark, path, tables.DAY_PROFILE))
+    return band.select("measurement", "day", *[rounded(c).alias(c) for c in ("mean", "std", "low", "high")])
+
+
 def nested_flatten(spark, sf_dir):
     flat = stations.flatten_stations(inputs.nested_stations(spark, sf_dir))
     total = F.aggregate("values", F.lit(0.0), lambda s, x: s + x)
@@ -295,7 +349,18 @@ def eigenvectors_top3(spark, sf_dir):
 
 def components_lines(spark, sf_dir):
     """Variance shares and unit vectors of order lines (quantity, price)."""
+    return _shares(components.eigenpairs(components.covariance_rows(inputs.line_vectors(spark, sf_dir))))
+
+
+def stored_components(spark, sf_dir):
+    """The same from eigenpairs in the store."""
+    path = f"{shared_folder(spark)}/eigenpairs"
     pairs = components.eigenpairs(components.covariance_rows(inputs.line_vectors(spark, sf_dir)))
+    tables.store_partitions(pairs.drop("clipped"), path, tables.EIGENPAIRS)
+    return _shares(tables.read_stored(spark, path, tables.EIGENPAIRS))
+
+
+def _shares(pairs):
     shares = components.explained_variance(pairs).join(
         pairs.select("measurement", "rank", "eigvec"), ["measurement", "rank"]
     )
@@ -615,6 +680,7 @@ QUERIES: dict[str, Query] = {
         f.__name__: f
         for f in (
             ngram_top5_all, ngram5_punct_deleted_top100, ngram_counts_n2,
+            reader_paragraphs, reader_manifest, reader_csv_report,
             json_valid_posts, json_distinct_users, posts_per_group, posts_right_outer,
             tokens_extract, tokens_rich, tokens_markup, entities_decoded, text_escaped,
             token_users_total, token_vocabulary, token_popular_top20, token_group_counts,
@@ -622,9 +688,9 @@ QUERIES: dict[str, Query] = {
             class_distribution, class_distribution_named, hash_sample_split,
             class_distribution_test_set,
             profile_day_stats, profile_band, profile_missing_days, profile_scalars,
-            profile_histogram, nested_flatten, derived_measures, station_selection, vector_contract, profile_sound_days,
+            profile_histogram, statistics_store, stored_band, nested_flatten, derived_measures, station_selection, vector_contract, profile_sound_days,
             covariance_matrix, eigen_invariants, full_rank_identity, explained_variance, eigenvectors_top3,
-            components_lines, reconstruction_lines, extremes_lines, extremes_lines_series,
+            components_lines, stored_components, reconstruction_lines, extremes_lines, extremes_lines_series,
             station_coefficients, station_regression, station_clusters,
             reconstruction_fixed_basis, reconstruction_error, reconstruction_extremes,
             regression_2f, regression_sensitivity, regression_coefficients, regression_predictions,

@@ -85,6 +85,29 @@ def read_numeric_csv(
     return table.where(F.when(complete, True).otherwise(F.raise_error(F.lit("empty cell")).cast("boolean")))
 
 
+def read_checked_csv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """All columns as in :func:`read_numeric_csv`, and ``file, reason, record``: bad rows are kept, with why.
+
+    ``reason`` is null for a sound row, 'malformed' for a cell that is no number or a wrong number of
+    cells (then ``record`` holds the line), 'empty cell' otherwise.  One read serves the sound rows and the report.
+    """
+    schema = T.StructType([*double_schema(names).fields, T.StructField("_record", T.StringType())])
+    table = (
+        spark.read.schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_record")
+        .option("ignoreLeadingWhiteSpace", True)
+        .option("ignoreTrailingWhiteSpace", True)
+        .csv(path)
+    )
+    complete = reduce(and_, (F.col(f"`{name}`").isNotNull() for name in names))
+    reason = F.when(F.col("_record").isNotNull(), "malformed").when(~complete, "empty cell")
+    return table.select(
+        *[f"`{name}`" for name in names], F.col("_metadata.file_path").alias("file"), reason.alias("reason"),
+        F.col("_record").alias("record"),
+    )
+
+
 def read_cover(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     return read_numeric_csv(spark, path, expand_columns(COVER_COLUMNS), mode)
 

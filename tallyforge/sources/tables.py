@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 USER_GROUPS = "user_id string, group_id int"
 STATIONS = (
@@ -18,10 +18,6 @@ MEASURE_STATS = (
 )
 DAY_PROFILE = "measurement string, day int, mean double, var double, ne bigint"
 EIGENPAIRS = "measurement string, rank int, eigval double, eigvec array<double>"
-PROJECTIONS = (
-    "station string, latitude double, longitude double, elevation double, dist_coast double, "
-    "TAVG_coeff array<double>, TRANGE_coeff array<double>, SNWD_coeff array<double>"
-)
 
 
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
@@ -52,6 +48,38 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     df.write.mode(mode).format(fmt).save(path)
 
 
+def checked_schema(df: DataFrame, schema: str) -> DataFrame:
+    """``df`` with the columns of ``schema`` in its order; an error where names or types differ."""
+    wanted = T.StructType.fromDDL(schema)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    if have != {f.name: f.dataType for f in wanted.fields}:
+        raise ValueError(f"expected {schema}, got {df.schema.simpleString()}")
+    return df.select(*[f"`{f.name}`" for f in wanted.fields])
+
+
+def store_partitions(df: DataFrame, path: str, schema: str, by: str = "measurement") -> None:
+    """Write a statistics table, checked against its schema, in one partition per value of ``by``.
+
+    Partitions of values that ``df`` holds are replaced, others stay: statistics of one measure can be
+    renewed without touching the rest.
+    """
+    rows = checked_schema(df, schema)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def read_stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of :func:`store_partitions` in the order of its schema; an error if the files hold another one."""
+    wanted = T.StructType.fromDDL(schema)
+    found = spark.read.parquet(path).schema
+    # Partition values are told from folder names: their type is the schema's.
+    kinds = {f.name: f.dataType for f in found.fields}
+    stored = spark.read.schema(schema).parquet(path)
+    for field in wanted.fields[1:]:
+        if kinds.get(field.name) != field.dataType:
+            raise ValueError(f"expected {schema}, found {found.simpleString()}")
+    return stored.select(*[f"`{f.name}`" for f in wanted.fields])
+
+
 def ranked(top: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:
     """Adds 1, 2, 3... in ``order``.  For a limited report only: it numbers in one task."""
     return top.withColumn(name, F.row_number().over(Window.orderBy(*order)))

@@ -100,3 +100,33 @@ def test_spread_only_moves_small_tables(spark):
     few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
     assert tables.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 4
     assert tables.spread(many) is many
+
+
+def test_bad_rows_are_kept_with_file_and_reason(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1, 2\n3,x\n4,\n5\n6,7,8\n")
+    with gzip.open(tmp_path / "in" / "b.csv.gz", "wt") as file:
+        file.write("9,10\n,\n")
+    found = numeric.read_checked_csv(spark, str(tmp_path / "in"), ["p", "q.r"])
+    assert rows(found.where("reason is null").select("p", "`q.r`")) == [(1.0, 2.0), (9.0, 10.0)]
+    bad = {(r.file.rsplit("/", 1)[1], r.reason, r.record) for r in found.where("reason is not null").collect()}
+    assert bad == {
+        ("a.csv", "malformed", "3,x"), ("a.csv", "empty cell", None), ("a.csv", "malformed", "5"),
+        ("a.csv", "malformed", "6,7,8"), ("b.csv.gz", "empty cell", None),
+    }
+    assert found.groupBy("reason").count().count() == 3
+
+
+def test_statistics_store(spark, tmp_path):
+    """Measures are replaced one by one, a null one too; a wrong schema is refused on either side."""
+    kinds, path = "measurement string, n bigint, mean double", str(tmp_path / "stats")
+    tables.store_partitions(spark.createDataFrame([("a", 1, 1.0), (None, 2, 2.0), ("07", 3, 3.0)], kinds), path, kinds)
+    tables.store_partitions(spark.createDataFrame([(None, 5, 5.0), ("b", 4, 4.0)], kinds), path, kinds)
+    got = tables.read_stored(spark, path, kinds)
+    assert got.columns == ["measurement", "n", "mean"]
+    assert rows(got) == rows(spark.createDataFrame([("a", 1, 1.0), (None, 5, 5.0), ("07", 3, 3.0), ("b", 4, 4.0)], kinds))
+    with pytest.raises(ValueError, match="expected"):
+        tables.store_partitions(spark.createDataFrame([("a", 1)], "measurement string, n int"), path, kinds)
+    with pytest.raises(ValueError, match="expected"):
+        tables.read_stored(spark, path, "measurement string, n bigint, mean double, std double")
+    assert got.count() == 4
