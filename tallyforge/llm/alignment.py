@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallyforge.llm.common import stored
+from tallyforge.llm.common import sent, stored
 
 TOKENIZERS = "/opt/tokenizers"
 CHUNK_CHARS = 1_000_000
@@ -265,7 +265,7 @@ def align(docs: DataFrame, vocabularies: Vocabularies | None = None, text: str =
 
     Group g holds the tokens from the cuts before it to its own; columns of these names are replaced.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(vocabularies or load())
+    shipped = sent(docs.sparkSession, vocabularies or load())
     new = ["a_ids", "b_ids", "a_cuts", "b_cuts"]
     rest = docs.drop(*new)
     place = rest.columns.index(text)
@@ -274,7 +274,7 @@ def align(docs: DataFrame, vocabularies: Vocabularies | None = None, text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = None
         for batch in batches:
-            aligner = aligner or Aligner(shipped.value)
+            aligner = aligner or Aligner(shipped())
             texts = batch.column(place).to_pylist()
             for part in _chunks(texts):
                 x = aligner([texts[i] for i in part])
@@ -290,7 +290,7 @@ def align(docs: DataFrame, vocabularies: Vocabularies | None = None, text: str =
 
 def _summaries(docs: DataFrame, vocabularies: Vocabularies, doc_id: str, text: str) -> DataFrame:
     """Counts and digest of every text, and its distinct linked pairs with how often each occurs in it."""
-    shipped = docs.sparkSession.sparkContext.broadcast(vocabularies)
+    shipped = sent(docs.sparkSession, vocabularies)
     schema = pa.schema(
         [
             ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
@@ -301,7 +301,7 @@ def _summaries(docs: DataFrame, vocabularies: Vocabularies, doc_id: str, text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = None
         for batch in batches:
-            aligner = aligner or Aligner(shipped.value)
+            aligner = aligner or Aligner(shipped())
             texts = batch.column(1).to_pylist()
             for part in _chunks(texts):
                 x = aligner([texts[i] for i in part])

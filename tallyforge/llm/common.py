@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyforge.session import ensure_checkpoint_dir
@@ -28,6 +30,23 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, thing: object) -> Callable[[], object]:
+    """``thing`` broadcast together with its classes; the function given back finds it in a task.
+
+    A plain broadcast names the classes of what it holds, so executors would need this package.  What is sent
+    must be of bounded size; it is unpacked once per task.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    unpacked: list[object] = []
+
+    def get() -> object:
+        if not unpacked:
+            unpacked.append(pickle.loads(packed.value))
+        return unpacked[0]
+
+    return get
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tallyforge.llm.common import stored
+from tallyforge.llm.common import sent, stored
 
 SAMPLE = 1024
 BASE = 1.3
@@ -317,7 +317,7 @@ def _looked_up(rows: DataFrame, anchors: DataFrame, search, with_scores: bool) -
         for whole in batches:
             for start in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(start, BLOCK)
-                chunks = search.value.visits(batch, with_scores)
+                chunks = search().visits(batch, with_scores)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(chunks, pa.list_(pa.int32()))], names=[*batch.schema.names, "chunks"]
                 )
@@ -334,7 +334,7 @@ def _looked_up(rows: DataFrame, anchors: DataFrame, search, with_scores: bool) -
     )
 
     def verified(left: pa.Table, right: pa.Table) -> pa.Table:
-        anchor, place, row, score = search.value.verify(left, right, with_scores)
+        anchor, place, row, score = search().verify(left, right, with_scores)
         return pa.table(
             [
                 right["id"].take(pa.array(anchor)), right["key"].take(pa.array(anchor)), pa.array(place, pa.int32()),
@@ -398,11 +398,11 @@ def mine(
         [r["id"] for r in kept], [r["label"] for r in kept],
         np.array([r["vec"] for r in kept], dtype=np.int64).reshape(shape), longest,
     )
-    planted = spark.sparkContext.broadcast(tree)
+    planted = sent(spark, tree)
 
     def deal(batches):
         for batch in batches:
-            node, path = descend(planted.value, _matrix(batch.column(batch.schema.get_field_index("vec")), d))
+            node, path = descend(planted(), _matrix(batch.column(batch.schema.get_field_index("vec")), d))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(node, pa.int32()), pa.array([p.tolist() for p in path], pa.list_(pa.float64()))],
                 names=[*batch.schema.names, "node", "path"],
@@ -416,7 +416,7 @@ def mine(
     counts = {r["node"]: r for r in dealt.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *far).collect()}
     _measure(tree, counts, deepest)
     chunk_of = _chunk_nodes([counts[n]["n"] if n in counts else 0 for n in range(len(tree.nodes))])
-    search = spark.sparkContext.broadcast(_Search(tree, chunk_of, positives, negatives, low, high))
+    search = sent(spark, _Search(tree, chunk_of, positives, negatives, low, high))
     places = spark.createDataFrame([(n, c[0], len(c)) for n, c in enumerate(chunk_of) if c], "node int, chunk0 int, parts int")
     salt = F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int")
     rows_ = (

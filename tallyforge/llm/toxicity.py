@@ -1,9 +1,9 @@
 """Toxicity by compression distance: which of two zstandard dictionaries makes a text's windows shorter.
 
 Training looks at a bounded sample of labelled rows (``TRAINING_ROWS`` of each class, of least hash; their
-whole texts).  Shingles of ``SHINGLE`` characters inside words are counted by document and class over
-the larger part of it.  Each class's dictionary holds words that cover, most frequent first, the shingles
-standing out for that class (log-odds over their standard error at least ``STANDS_OUT``), and behind them
+whole texts).  Shingles of ``SHINGLE`` characters inside words are counted by class over the larger part
+of it, in different contexts of three words, so that copies of a text count once.  Each class's dictionary holds words that cover, most frequent first, the shingles
+standing out for that class (log-odds at least ``LEAST_ODDS``, and over their standard error ``STANDS_OUT``), and behind them
 both hold the same words covering the commonest shingles, so that what any text has in common costs the
 same under either.  A text is cut into windows of ``WINDOW`` words; a window's distance is its compressed length with
 the ordinary dictionary less that with the toxic one.  Shares of windows past several distances, their
@@ -27,20 +27,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyforge.llm.common import stored
+from tallyforge.llm.common import sent, stored
 
 TRAINING_ROWS = 6000
 CALIBRATION_PART = 3  # one of so many parts of the sample
 SHINGLE = 6
-STANDS_OUT = 5.0
+STANDS_OUT, LEAST_ODDS = 5.0, 1.5
 COMMON_SHINGLES = 6000
 CANDIDATE_WORDS = 50_000
 OWN_SHINGLES = 4000
-COVER = 3
+COVER = 6
 WINDOW = 6
 LONGEST = 40
 DISTANCES = (1, 2, 3, 4, 5, 6, 8, 10)
@@ -161,49 +162,72 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     return stored(sample.select("doc_id", "text", "toxic", part.alias("part"))), [sizes.get(0, 0), sizes.get(1, 0)]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class that hold a word, or a shingle inside one."""
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every word of a text with a hash of the word and its neighbours."""
     for batch in batches:
-        counts: list[Counter] = [Counter(), Counter()]
+        found: set[tuple[int, str, int]] = set()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = set(words(text))
-            held = set().union(*map(shingles, own)) if own else set()
-            counts[toxic].update((0, w) for w in own)
-            counts[toxic].update((1, s) for s in held)
-        keys = list(counts[0].keys() | counts[1].keys())
+            own = ["", *words(text), ""]
+            for before, word, after in zip(own, own[1:], own[2:], strict=False):
+                place = xxhash.xxh64_intdigest(f"{before} {word} {after}") - 2**63
+                found.add((toxic, word, place))
+        columns = list(zip(*found, strict=True)) if found else [[], [], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
+            names=["toxic", "word", "place"],
+        )
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the shingles inside words."""
+    for batch in batches:
+        counts: list[Counter] = [Counter(), Counter()]
+        for word, ordinary, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for piece in shingles(word):
+                counts[0][piece] += ordinary
+                counts[1][piece] += toxic
+        keys = list(counts[0])
         yield pa.RecordBatch.from_pydict(
-            {
-                "kind": pa.array([k for k, _ in keys], pa.int32()), "piece": [p for _, p in keys],
-                "ordinary": [counts[0][k] for k in keys], "toxic": [counts[1][k] for k in keys],
-            }
-        )
+            {"piece": pa.array(keys, pa.string()), **{n: pa.array([c[k] for k in keys], pa.int64()) for n, c in zip(("ordinary", "toxic"), counts)}}
+        )
 
 
 def dictionaries(sample: DataFrame) -> Dictionaries:
-    """Both dictionaries of ``text, toxic`` rows."""
-    sizes = dict(sample.groupBy("toxic").count().collect())
-    n0, n1 = (float(sizes.get(k, 0)) for k in (0, 1))
-    counted = sample.select("text", "toxic").mapInArrow(_count, "kind int, piece string, ordinary long, toxic long")
-    totals = counted.groupBy("kind", "piece").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    """Both dictionaries of ``text, toxic`` rows.
+
+    What is counted are different contexts, a word between its neighbours, so that copies of a text, however
+    many, count once.
+    """
+    places = sample.select("text", "toxic").mapInArrow(_contexts, "toxic int, word string, place long").distinct()
+    counted = stored(
+        places.groupBy("word").agg(F.count_if(F.col("toxic") == 0).alias("ordinary"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+    )
+    sums = counted.agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).first()
+    n0, n1 = (float(sums[k] or 0) for k in ("ordinary", "toxic"))
     a, b = F.col("toxic") + 0.5, F.col("ordinary") + 0.5
     odds = F.log(a / (F.lit(n1 + 1) - a)) - F.log(b / (F.lit(n0 + 1) - b))
-    totals = stored(totals.withColumn("z", odds / F.sqrt(1 / a + 1 / b)))
-    pieces = totals.where("kind = 1")
-
-    def first(df: DataFrame, order: Column, count: int) -> list[str]:
-        return [r["piece"] for r in df.orderBy(order, "piece").select("piece").limit(count).collect()]
-
-    own = [set(first(pieces.where(sign * F.col("z") >= STANDS_OUT), F.desc(sign * F.col("z")), OWN_SHINGLES)) for sign in (-1, 1)]
-    common = set(first(pieces.where(F.col("z") < 3), F.desc("ordinary"), COMMON_SHINGLES)) - own[1]
+    parts = counted.select("word", "ordinary", "toxic").mapInArrow(_pieces, "piece string, ordinary long, toxic long")
+    totals = parts.groupBy("piece").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    pieces = stored(totals.withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / a + 1 / b)))
+
+    def first(df: DataFrame, order: Column, name: str, count: int) -> list[str]:
+        return [r[name] for r in df.orderBy(order, name).select(name).limit(count).collect()]
+
+    own = [
+        set(
+            first(
+                pieces.where((sign * F.col("z") >= STANDS_OUT) & (sign * F.col("odds") >= LEAST_ODDS)),
+                F.desc(sign * F.col("z")), "piece", OWN_SHINGLES,
+            )
+        )
+        for sign in (-1, 1)
+    ]
+    common = set(first(pieces.where(F.col("odds") < LEAST_ODDS), F.desc("ordinary"), "piece", COMMON_SHINGLES))
     shares = [F.col("ordinary") / max(n0, 1.0), F.col("toxic") / max(n1, 1.0)]
-    listed = [
-        first(totals.where("kind = 0").where(shares[k] > shares[1 - k]), F.desc(shares[k]), CANDIDATE_WORDS) for k in (0, 1)
-    ]
-    usual = first(totals.where("kind = 0"), F.desc("ordinary"), CANDIDATE_WORDS)
+    listed = [first(counted.where(shares[k] > shares[1 - k]), F.desc(shares[k]), "word", CANDIDATE_WORDS) for k in (0, 1)]
+    usual = first(counted, F.desc("ordinary"), "word", CANDIDATE_WORDS)
     base = covering((w for w in usual if not shingles(w) & own[1]), common, 1)
-    ordinary, toxic = (
-        f" {' '.join(covering(listed[k], own[k], COVER) + base)} ".encode() for k in (0, 1)
-    )
+    ordinary, toxic = (f" {' '.join(covering(listed[k], own[k], COVER) + base)} ".encode() for k in (0, 1))
     size = max(len(ordinary), len(toxic), 8)
     return Dictionaries(toxic.rjust(size, b"~"), ordinary.rjust(size, b"~"))
 
@@ -248,12 +272,12 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
     kind = named.schema["doc_id"].dataType.simpleString()
     if model.dictionaries is None:
         return named.drop("text").withColumn("score", F.lit(model.intercept)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = sent(docs.sparkSession, model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        measurer = Measurer(shipped.value.dictionaries)
+        measurer = Measurer(shipped().dictionaries)
         for batch in batches:
-            scores = [shipped.value.score(measurer.features(t)) for t in batch.column(2).to_pylist()]
+            scores = [shipped().score(measurer.features(t)) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())],
                 names=["doc_id", "held_out", "score", "predicted"],
