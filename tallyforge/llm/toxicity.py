@@ -3,7 +3,7 @@
 Training looks at a bounded sample of labelled rows (``TRAINING_ROWS`` of each class, of least hash; their
 whole texts).  Shingles of ``SHINGLE`` characters inside words are counted by class over the larger part
 of it, in different contexts of three words, so that copies of a text count once.  Each class's dictionary holds words that cover, most frequent first, the shingles
-standing out for that class (log-odds at least ``LEAST_ODDS``, and over their standard error ``STANDS_OUT``), and behind them
+standing out for that class (log-odds at least ``LEAST_ODDS``, and root of the likelihood ratio ``STANDS_OUT``), and behind them
 both hold the same words covering the commonest shingles, so that what any text has in common costs the
 same under either.  A text is cut into windows of ``WINDOW`` words; a window's distance is its compressed length with
 the ordinary dictionary less that with the toxic one.  Shares of windows past several distances, their
@@ -208,7 +208,13 @@ def dictionaries(sample: DataFrame) -> Dictionaries:
     odds = F.log(a / (F.lit(n1 + 1) - a)) - F.log(b / (F.lit(n0 + 1) - b))
     parts = counted.select("word", "ordinary", "toxic").mapInArrow(_pieces, "piece string, ordinary long, toxic long")
     totals = parts.groupBy("piece").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    pieces = stored(totals.withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / a + 1 / b)))
+    both = F.col("ordinary") + F.col("toxic")
+
+    def surprise(seen: str, share: float) -> Column:
+        return F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) / (both * max(share, 1e-300)))).otherwise(0.0)
+
+    ratio = 2 * (surprise("ordinary", n0 / max(n0 + n1, 1.0)) + surprise("toxic", n1 / max(n0 + n1, 1.0)))
+    pieces = stored(totals.withColumn("odds", odds).withColumn("z", F.signum("odds") * F.sqrt(F.greatest(ratio, F.lit(0.0)))))
 
     def first(df: DataFrame, order: Column, name: str, count: int) -> list[str]:
         return [r[name] for r in df.orderBy(order, name).select(name).limit(count).collect()]
@@ -263,7 +269,7 @@ def train(
             F.col("toxic").cast("double").alias("toxic"), array_to_vector("features").alias("features"), (weight * count).alias("weight")
         ).coalesce(1)
     )
-    return ToxicityModel(given, fitted.coefficients.tolist(), float(fitted.intercept))
+    return ToxicityModel(given, fitted.coefficients.toArray().tolist(), float(fitted.intercept))
 
 
 def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
