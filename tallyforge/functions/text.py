@@ -42,6 +42,30 @@ def ngrams(word_array: Column, n: int) -> Column:
     return F.when(F.size(word_array) >= n, grams).otherwise(F.array().cast("array<array<string>>"))
 
 
+def place_ngrams(
+    df: DataFrame,
+    text: str,
+    sizes: Sequence[int],
+    punct: str = "space",
+    ascii_only: bool = False,
+) -> DataFrame:
+    """Rows (words, pos, n) for every n-gram of every sentence: its sentence, start and size.
+    :func:`placed_words` gives the words."""
+    sizes = sorted(set(sizes))
+    at = _words_at(df, text, punct, ascii_only)
+    if len(sizes) == 1:
+        n = F.lit(sizes[0])
+        placed = at.select("words", "pos", n.alias("n"))
+    else:
+        placed = at.select("words", "pos", F.explode(F.array(*map(F.lit, sizes))).alias("n"))
+    return placed.where(F.col("pos") + F.col("n") <= F.size("words"))
+
+
+def placed_words() -> Column:
+    """Array of the words of a row of :func:`place_ngrams`."""
+    return F.slice(F.col("words"), F.col("pos") + 1, F.col("n"))
+
+
 def explode_ngrams(
     df: DataFrame,
     text: str,
@@ -54,20 +78,16 @@ def explode_ngrams(
     Row-wise form of :func:`ngrams`: explode, slice and join stay inside generated code, and no
     array of arrays is built for a long sentence.
     """
-    sizes = sorted(set(sizes))
+    if set(sizes) == {1}:
+        found = _words_at(df, text, punct, ascii_only).where(F.col("word").isNotNull())
+        return found.select(F.lit(1).alias("n"), F.col("word").alias("ngram"))
+    placed = place_ngrams(df, text, sizes, punct, ascii_only)
+    return placed.select("n", F.array_join(placed_words(), " ").alias("ngram"))
+
+
+def _words_at(df: DataFrame, text: str, punct: str, ascii_only: bool) -> DataFrame:
     # The outer forms keep the optimiser from putting a "size > 0" filter, and with it a second
-    # evaluation of the split, under the generator; rows without words go with the filters below.
+    # evaluation of the split, under the generator; rows without words go with the filters after.
     in_sentences = df.select(F.explode_outer(sentences(F.col(text))).alias("sentence"))
     in_words = in_sentences.select(words(F.col("sentence"), punct, ascii_only).alias("words"))
-    at = in_words.select("words", F.posexplode_outer("words").alias("pos", "word"))
-    if sizes == [1]:
-        found = at.where(F.col("word").isNotNull())
-        return found.select(F.lit(1).alias("n"), F.col("word").alias("ngram"))
-    if len(sizes) == 1:
-        n = F.lit(sizes[0])
-        placed = at.select("words", "pos", n.alias("n"))
-    else:
-        placed = at.select("words", "pos", F.explode(F.array(*map(F.lit, sizes))).alias("n"))
-    fits = placed.where(F.col("pos") + F.col("n") <= F.size("words"))
-    gram = F.array_join(F.slice(F.col("words"), F.col("pos") + 1, F.col("n")), " ")
-    return fits.select("n", gram.alias("ngram"))
+    return in_words.select("words", F.posexplode_outer("words").alias("pos", "word"))

@@ -15,9 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def texts(spark: SparkSession, sf_dir: str, name: str, passes: int = 1) -> DataFrame:
     """Table whose rows are long to process, spread over the cores if it is a small one."""
-    return spread(table(spark, sf_dir, name))
+    return spread(table(spark, sf_dir, name), passes)
 
 
 def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,20 +43,23 @@ def rounded(value: str | Column, digits: int = 6) -> Column:
 
 def ngram_top5(n: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        documents = inputs.texts(spark, sf_dir, "documents")
-        top = ngrams.sorted_ngrams(documents, "text", n).limit(5)
+        if n == 1:  # words are few: one pass
+            top = ngrams.sorted_ngrams(inputs.texts(spark, sf_dir, "documents"), "text", n).limit(5)
+        else:
+            documents = inputs.texts(spark, sf_dir, "documents", ngrams.PASSES)
+            top = ngrams.leading_ngrams(documents, "text", n, 5)
         return tables.ranked(top, [F.desc("count"), F.asc("ngram")])
 
     return query
 
 
 def ngram_top5_all(spark, sf_dir):
-    return ngrams.top_ngrams(inputs.texts(spark, sf_dir, "documents"), "text")
+    return ngrams.top_ngrams(inputs.texts(spark, sf_dir, "documents", ngrams.PASSES), "text")
 
 
 def ngram5_punct_deleted_top100(spark, sf_dir):
-    documents = inputs.texts(spark, sf_dir, "documents")
-    return ngrams.sorted_ngrams(documents, "text", 5, punct="delete", ascii_only=True).limit(100)
+    documents = inputs.texts(spark, sf_dir, "documents", ngrams.PASSES)
+    return ngrams.leading_ngrams(documents, "text", 5, 100, punct="delete", ascii_only=True)
 
 
 def ngram_counts_n2(spark, sf_dir):

@@ -28,15 +28,19 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
 TASKS_PER_CORE = 4
 
 
-def spread(table: DataFrame) -> DataFrame:
+def spread(table: DataFrame, passes: int = 1) -> DataFrame:
     """A freshly read table of few file splits, dealt out to a few tasks per core.
 
     For jobs that multiply rows or run long per row: small tasks also let the combining before an
     exchange stay in memory.  Large inputs have more splits than that and pass untouched, so what
-    is moved never exceeds a few splits per core.
+    is moved never exceeds a few splits per core.  A job of several ``passes``, which would move the
+    table in each, takes it untouched as soon as it has a file for every core.
     """
-    tasks = table.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
-    return table if table.rdd.getNumPartitions() >= tasks else table.repartition(tasks)
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    tasks = cores * TASKS_PER_CORE
+    if table.rdd.getNumPartitions() >= tasks or (passes > 1 and len(table.inputFiles()) >= cores):
+        return table
+    return table.repartition(tasks)
 
 
 def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:

@@ -102,6 +102,16 @@ def test_spread_only_moves_small_tables(spark):
     assert tables.spread(many) is many
 
 
+def test_spread_for_several_passes(spark, tmp_path):
+    """What would be moved in each pass stays where it is once every core has a file."""
+    cores = spark.sparkContext.defaultParallelism
+    for files in (2, cores):
+        spark.range(0, 100, 1, files).write.parquet(str(tmp_path / str(files)))
+    few, enough = (spark.read.parquet(str(tmp_path / str(files))) for files in (2, cores))
+    assert tables.spread(few, 3).rdd.getNumPartitions() == cores * 4
+    assert tables.spread(enough, 3) is enough and tables.spread(enough) is not enough
+
+
 def test_bad_rows_are_kept_with_file_and_reason(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("1, 2\n3,x\n4,\n5\n6,7,8\n")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -75,6 +77,38 @@ def test_few_repeated_ngrams(spark):
     assert rows(dealt) == rows(ngrams.count_ngrams(df, "text", [1]))
 
 
+def test_only_leading_ngrams_are_moved(spark, monkeypatch):
+    """Of 270 repeated n-grams of a size, only those of the 20 frequent words are counted by text."""
+    rare = " ".join(f"w{i}" for i in range(250))
+    frequent = " ".join(f"f{i:02}" for i in range(20))
+    df = spark.createDataFrame([(rare,)] * 2 + [(frequent,)] * 50, "text string")
+    counted, best = [], ngrams._best
+    monkeypatch.setattr(ngrams, "_best", lambda counts, k: counted.append(counts.count()) or best(counts, k))
+    top = rows(ngrams.top_ngrams(df, "text", k=2))
+    assert top[:2] == [(1, 1, 50, "f00"), (1, 2, 50, "f01")] and len(top) == 10
+    assert sum(counted) < 5 * 25
+    text = ngrams.leading_ngrams(df, "text", 2, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in text and text.count("split(lower") == 1
+
+
+def test_leading_ngrams_however_they_share_slots(spark):
+    """Skewed, even and single n-grams, in many slots and in two: the same as counting all."""
+    draw = random.Random(3)
+    skewed = [" ".join(f"v{int(draw.paretovariate(0.7)) % 90}" for _ in range(30)) + ". a b" for _ in range(40)]
+    even = [" ".join(f"e{(i * 7 + j) % 60}" for j in range(12)) for i in range(60)]
+    single = [f"s{i} t{i} u{i}" for i in range(300)]
+    for texts in (skewed, even, single, ["", "..."]):
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        all_counts = [tuple(r) for r in ngrams.count_ngrams(df, "text", [1, 2, 3]).collect()]
+        order = {n: sorted(((-c, g) for m, g, c in all_counts if m == n)) for n in (1, 2, 3)}
+        wanted = [(n, i + 1, -c, g) for n in order for i, (c, g) in enumerate(order[n][:4])]
+        for slot_bits in (1, 6, 17):
+            top = ngrams.top_ngrams(df, "text", [3, 1, 2], k=4, slot_bits=slot_bits)
+            assert sorted(map(tuple, top.collect())) == wanted, slot_bits
+        first = ngrams.leading_ngrams(df, "text", 2, 7, slot_bits=6).collect()
+        assert [(-r["count"], r.ngram) for r in first] == order[2][:7]
+
+
 def test_paragraphs_and_manifest(spark, tmp_path):
     (tmp_path / "book.txt").write_bytes(b"one\r\ntwo\r\n\r\nthree\r\n\r\n\r\n\r\nfour")
     found = [r.value for r in corpus.read_paragraphs(spark, str(tmp_path / "book.txt")).collect()]
